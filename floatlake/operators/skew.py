@@ -43,14 +43,17 @@ def attach_groups(
     hot = groups.where(F.col(size) > hot_rows).select(
         *keys, *[F.col(v).alias(f"{_HOT}_{v}") for v in values], F.lit(True).alias(_HOT)
     )
+    # Zero, but not as a literal: a constant would be taken out of the join keys, and
+    # the spread rows would then be sent to the place of their group after all.
+    zero = F.pmod(F.col(size).cast("bigint"), F.lit(1).cast("bigint"))
     cold = groups.where(F.col(size) <= hot_rows).select(
-        *keys, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias(_SALT)
+        *keys, *[F.col(v).alias(f"_cold_{v}") for v in values], zero.alias(_SALT)
     )
-    spread = F.pmod(F.xxhash64(*order), F.lit(SPREAD)).cast("int") + 1
+    spread = F.pmod(F.xxhash64(*order), F.lit(SPREAD).cast("bigint")) + 1
     apart = F.col(_HOT).isNotNull() | any_null(keys)
     joined = (
         rows.join(F.broadcast(hot), keys, "left")
-        .withColumn(_SALT, F.when(apart, spread).otherwise(F.lit(0)))
+        .withColumn(_SALT, F.when(apart, spread).otherwise(F.lit(0).cast("bigint")))
         .join(cold, [*keys, _SALT], "left")
     )
     return joined.select(
