@@ -7,12 +7,9 @@ by floatlake.operators.regions instead.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F
 
 from floatlake.catalog import OCEAN_BOXES, REGION_BOXES
-from floatlake.functions.text import col
 
 
 def _reachable(boxes):
@@ -28,19 +25,18 @@ def _reachable(boxes):
     return kept
 
 
-def _missing(lat: Column, lon: Column) -> Column:
-    lat, lon = lat.cast("double"), lon.cast("double")
-    return lat.isNull() | lon.isNull() | F.isnan(lat) | F.isnan(lon)
+def _missing(lat: str, lon: str) -> str:
+    return f"{lat} IS NULL OR {lon} IS NULL OR isnan({lat}) OR isnan({lon})"
+
+
+def _first_label(cases: list[tuple[str, str]], unknown: str) -> Column:
+    """CASE expression over (condition, label) pairs; one SQL text, parsed once."""
+    branches = " ".join(f"WHEN {condition} THEN '{label}'" for condition, label in cases)
+    return F.expr(f"CASE {branches} ELSE '{unknown}' END")
 
 
-def _first_label(cases: list[tuple[Column, str]], unknown: str) -> Column:
-    head, *tail = cases
-    chain = reduce(
-        lambda acc, case: acc.when(case[0], F.lit(case[1])),
-        tail,
-        F.when(head[0], F.lit(head[1])),
-    )
-    return chain.otherwise(F.lit(unknown))
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
 
 
 def in_box(lat: Column, lon: Column, lat0, lat1, lon0, lon1, mode: str = "closed") -> Column:
@@ -50,43 +46,48 @@ def in_box(lat: Column, lon: Column, lat0, lat1, lon0, lon1, mode: str = "closed
     return (lat > lat0) & (lat < lat1) & (lon > lon0) & (lon < lon1)
 
 
-def assign_region(lat: Column | str, lon: Column | str, mode: str = "closed") -> Column:
-    """Name of the first region whose box holds the point.
+def assign_region(lat: str, lon: str, mode: str = "closed") -> Column:
+    """Name of the first region whose box holds the point, from two column names.
 
     closed includes the borders and answers "Unknown" for no match; open leaves the
     borders out and answers "Unknown Region".
     """
     if mode not in ("closed", "open"):
         raise ValueError(f"mode must be 'closed' or 'open', not {mode!r}")
-    lat, lon = col(lat), col(lon)
-    unknown = "Unknown" if mode == "closed" else "Unknown Region"
+    lat, lon = _quoted(lat), _quoted(lon)
+    unknown, cmp = ("Unknown", "<=") if mode == "closed" else ("Unknown Region", "<")
     cases = [(_missing(lat, lon), unknown)]
-    for name, *bounds in _reachable(REGION_BOXES):
-        cases.append((in_box(lat, lon, *(F.lit(float(b)) for b in bounds), mode=mode), name))
+    for name, lat0, lat1, lon0, lon1 in _reachable(REGION_BOXES):
+        cases.append((
+            f"{lat0}D {cmp} {lat} AND {lat} {cmp} {lat1}D"
+            f" AND {lon0}D {cmp} {lon} AND {lon} {cmp} {lon1}D",
+            name,
+        ))
     return _first_label(cases, unknown)
 
 
-def assign_ocean(lat: Column | str, lon: Column | str, mode: str = "boxes") -> Column:
+def assign_ocean(lat: str, lon: str, mode: str = "boxes") -> Column:
     """Ocean of a point, by the ordered box list (boxes) or by latitude belts and
-    longitude sectors (chain)."""
-    lat, lon = col(lat), col(lon)
+    longitude sectors (chain), from two column names."""
+    lat, lon = _quoted(lat), _quoted(lon)
     if mode == "boxes":
         cases = [(_missing(lat, lon), "Unknown")]
         for name, lat0, lat1, lon0, lon1 in OCEAN_BOXES:
-            across = lon0 > lon1
-            east, west = lon >= float(lon0), lon <= float(lon1)
-            inside = lat.between(float(lat0), float(lat1))
-            cases.append((inside & ((east | west) if across else (east & west)), name))
+            link = "OR" if lon0 > lon1 else "AND"
+            cases.append((
+                f"{lat} BETWEEN {lat0} AND {lat1} AND ({lon} >= {lon0} {link} {lon} <= {lon1})",
+                name,
+            ))
         return _first_label(cases, "Unknown")
     if mode == "chain":
         # Belts first, then sectors; the first match wins.
         rules = [
             (_missing(lat, lon), "Unknown Ocean"),
-            (lat >= 65, "Arctic Ocean"),
-            (lat <= -60, "Southern Ocean"),
-            (lon.between(-70, 20), "Atlantic Ocean"),
-            (lon.between(20, 147), "Indian Ocean"),
-            ((lon >= 120) | (lon <= -70), "Pacific Ocean"),
+            (f"{lat} >= 65", "Arctic Ocean"),
+            (f"{lat} <= -60", "Southern Ocean"),
+            (f"{lon} BETWEEN -70 AND 20", "Atlantic Ocean"),
+            (f"{lon} BETWEEN 20 AND 147", "Indian Ocean"),
+            (f"{lon} >= 120 OR {lon} <= -70", "Pacific Ocean"),
         ]
         return _first_label(rules, "Unknown Ocean")
     raise ValueError(f"mode must be 'boxes' or 'chain', not {mode!r}")
