@@ -19,9 +19,9 @@ def data_lines(df: DataFrame, line: str = "line") -> DataFrame:
     )
 
 
-def index_problem(line: Column | str) -> Column:
-    """Why a data line cannot be used, null for a good line."""
-    parts = F.split(line, ",")
+def index_problem(parts: Column | str) -> Column:
+    """Why the fields of a data line cannot be used, null for a good line."""
+    parts = F.col(parts) if isinstance(parts, str) else parts
     return (
         F.when(F.size(parts) < len(INDEX_FIELDS), F.lit("too few fields"))
         .when(~parses_as_float(F.get(parts, F.lit(2))), F.lit("latitude is not a number"))
@@ -34,20 +34,22 @@ def parse_index(df: DataFrame, line: str = "line") -> DataFrame:
 
     Other columns of the input (such as the line number) are kept in front.
     """
-    good = data_lines(df, line).where(index_problem(line).isNull())
-    parts = F.split(line, ",")
-    fields = [
-        (to_number(F.get(parts, F.lit(i))) if name in ("latitude", "longitude")
-         else F.get(parts, F.lit(i))).alias(name)
-        for i, name in enumerate(INDEX_FIELDS)
-    ]
     kept = [c for c in df.columns if c != line]
-    return good.select(*kept, *fields).withColumn("platform_number", platform_from_path("file"))
+    split = data_lines(df, line).select(*kept, F.split(line, ",").alias("_parts"))
+    good = split.where(index_problem("_parts").isNull()).select(
+        *kept, *[F.get("_parts", F.lit(i)).alias(name) for i, name in enumerate(INDEX_FIELDS)]
+    )
+    return good.withColumns({
+        "latitude": to_number("latitude"),
+        "longitude": to_number("longitude"),
+        "platform_number": platform_from_path("file"),
+    })
 
 
 def rejected_lines(df: DataFrame, line: str = "line") -> DataFrame:
     """Data lines that parse_index leaves out, with the reason."""
-    return data_lines(df, line).withColumn("reason", index_problem(line)).where("reason IS NOT NULL")
+    reason = index_problem(F.split(line, ","))
+    return data_lines(df, line).withColumn("reason", reason).where("reason IS NOT NULL")
 
 
 def filter_ocean(df: DataFrame, code: str = "I") -> DataFrame:
