@@ -9,10 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
+
+
+def is_row_number(df: DataFrame, order: list[str]) -> bool:
+    """One whole number gives the row order."""
+    return len(order) == 1 and dict(df.dtypes)[order[0]] in _WHOLE
+
 
 class States:
-    def __init__(self, order: list[str]):
+    """Collects states for rows ordered by ``order``.
+
+    With ``numbered`` the order is one whole number. First values of numbers then
+    aggregate by hashing; an order of several columns, or a text value, makes Spark
+    sort instead, which costs a few times more. ``mergeable`` keeps what ``merged``
+    needs beside the first values.
+    """
+
+    def __init__(self, order: list[str], numbered: bool = False, mergeable: bool = False):
         self._order = order
+        self._numbered = numbered
+        self._mergeable = mergeable
         self._partials: list[Column] = []
         self._merges: list[Column] = []
         self._known: dict[str, str] = {}
@@ -46,6 +63,13 @@ class States:
 
     def first(self, label: str, value: Column) -> Column:
         """First non-null value by row order."""
+        if self._numbered:
+            position = F.when(value.isNotNull(), F.col(self._order[0]))
+            merge = F.min
+            if self._mergeable:
+                at = self._add(f"at:{label}", F.min(position), F.min)
+                merge = lambda state: F.min_by(state, F.col(at))
+            return F.col(self._add(f"first:{label}", F.min_by(value, position), merge))
         tagged = F.struct(*[F.col(o) for o in self._order], value.alias("_value"))
         partial = F.min(F.when(value.isNotNull(), tagged))
         return F.col(self._add(f"first:{label}", partial, F.min))["_value"]

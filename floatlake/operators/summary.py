@@ -21,7 +21,7 @@ from floatlake.operators.profile import (
     surface_temp_state, with_n_levels,
 )
 from floatlake.operators.skew import HOT_ROWS, any_null, attach_groups
-from floatlake.operators.states import States
+from floatlake.operators.states import States, is_row_number
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 _FRACTIONAL = ("float", "double")
@@ -148,12 +148,14 @@ def summarize_bgc(
     order: list[str],
     rules: dict[str, str] | None = None,
     columns: list[str] | None = None,
+    partition_columns: list[str] | None = None,
     threshold: float = MIXED_LAYER_THRESHOLD,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Summary of biogeochemical profiles.
 
-    ``order`` are the columns giving the row order inside a profile. ``rules`` maps a
+    ``order`` are the columns giving the row order inside a profile; one whole number
+    is the fastest. ``partition_columns`` (such as the file) are extra keys. ``rules`` maps a
     column to "mean", "first" or "mixed"; when left out, text columns are looked at
     once (one extra scan). ``columns`` limits which other columns are summarised.
     Every column keeps its own name. The position used for the labels is the first
@@ -178,6 +180,7 @@ def summarize_bgc(
             df = with_n_levels(df, level_keys, order, pres, hot_rows)
     else:
         keys = grouping_columns(names)
+    keys = list(dict.fromkeys([*(partition_columns or []), *keys]))
     row_keys = [k for k in keys if not (counting_inside and k == "n_levels")]
 
     others = [
@@ -189,7 +192,7 @@ def summarize_bgc(
     rows = df.where(~any_null(row_keys))
     types = dict(df.dtypes)
 
-    states = States(order)
+    states = States(order, is_row_number(rows, order))
     p = F.col(pres).cast("double") if pres else F.lit(None).cast("double")
     t = F.col(temp).cast("double") if temp else F.lit(None).cast("double")
     states.count("rows")
@@ -324,7 +327,7 @@ def summarize_core(
     ]
     types = dict(df.dtypes)
 
-    states = States(order)
+    states = States(order, is_row_number(rows, order), mergeable=counted)
     p = F.col(pres).cast("double") if pres else F.lit(None).cast("double")
     t = F.col(temp).cast("double") if temp else F.lit(None).cast("double")
     row_count = states.count("rows")

@@ -30,7 +30,7 @@ from floatlake.sources.csv import (
 from floatlake.sources.profiles import read_profiles
 from floatlake.sources.sinks import write_by_month, write_partitioned, write_readings
 
-PROFILE_ORDER = ["file", "prof_idx", "level_idx"]
+PROFILE_IDS = ["file", "prof_idx"]
 
 
 def bgc_platforms(lines: DataFrame, order: list[str], year: int, months: list[int], ocean: str = "I") -> DataFrame:
@@ -46,10 +46,17 @@ def update_platform_list(spark: SparkSession, found: DataFrame, path: str) -> Da
     return spark.read.parquet(path).orderBy("platform_number")
 
 
-def bgc_summary(profiles: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
-    """Nested profiles to summary rows in one lazy plan."""
-    levels = flatten_profiles(profiles, PROFILE_ORDER[:2])
-    return summarize_bgc(prepare_bgc(levels), PROFILE_ORDER, rules)
+def bgc_levels(profiles: DataFrame) -> DataFrame:
+    """Level rows with ``row_no``, the position of a level in its file."""
+    levels = flatten_profiles(profiles, PROFILE_IDS)
+    number = F.shiftleft(F.col("prof_idx").cast("bigint"), 32) + F.col("level_idx")
+    return levels.withColumn("row_no", number)
+
+
+def bgc_summary(levels: DataFrame, rules: dict[str, str] | None = None) -> DataFrame:
+    """Level rows to summary rows, every file by itself."""
+    rows = prepare_bgc(levels).drop("prof_idx", "level_idx")
+    return summarize_bgc(rows, ["row_no"], rules, partition_columns=["file"])
 
 
 def core_summary(levels: DataFrame, order: list[str], default_date: str | None = None) -> DataFrame:
@@ -85,13 +92,12 @@ def run_bgc(
         paths = _pending(spark, profiles, manifest, "*.parquet")
         if not paths:
             return written
-        levels = flatten_profiles(read_profiles(spark, paths), PROFILE_ORDER[:2])
-        levels.write.mode("overwrite").parquet(levels_path)
+        bgc_levels(read_profiles(spark, paths)).write.mode("overwrite").parquet(levels_path)
         written["levels"] = levels_path
     if "summary" in steps:
-        levels = prepare_bgc(spark.read.parquet(levels_path))
         summary_path = f"{out}/summary/run_id={run_id}"
-        summarize_bgc(levels, PROFILE_ORDER, rules).write.mode("overwrite").parquet(summary_path)
+        summary = bgc_summary(spark.read.parquet(levels_path), rules)
+        summary.write.mode("overwrite").parquet(summary_path)
         written["summary"] = summary_path
     if "levels" in steps:
         finish_run(spark, manifest, paths, run_id)

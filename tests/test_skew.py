@@ -36,6 +36,8 @@ def test_hot_and_cold_agree(spark):
         lambda h: profile.mixed_layer_depth(df, KEYS, ["row"], hot_rows=h),
         lambda h: summary.summarize_bgc(df, ["row"], {"TEMP": "mean"}, ["TEMP"], hot_rows=h),
         lambda h: summary.summarize_core(df, ["row"], ["TEMP", "LATITUDE"], hot_rows=h),
+        lambda h: summary.summarize_core(df.withColumn("b", F.lit(0)), ["b", "row"] if h == 100 else ["row"],
+                                         ["TEMP", "LATITUDE"], hot_rows=h),
     ):
         same(run(100), run(10**9))
 
