@@ -39,8 +39,8 @@ def resolve_float_id(
     return out.withColumn("float_id", F.coalesce("_first_id", fallback)).drop("_first_id")
 
 
-def _date_pair(df: DataFrame) -> tuple[Column, Column]:
-    """Date and time of a reading: the JULD pair if the table has it, else JULD_LOCATION.
+def _date_texts(df: DataFrame) -> tuple[Column, Column]:
+    """Date and time text of a row: the JULD pair if the table has it, else JULD_LOCATION.
 
     A ``_columns`` array (the header of the row's own file, set by the mixed CSV
     reader) decides per file.
@@ -49,17 +49,28 @@ def _date_pair(df: DataFrame) -> tuple[Column, Column]:
         date, time = (find_column(df.columns, f"{prefix}_{part}") for part in ("DATE", "TIME"))
         if date is None:
             return None
-        return reading_date(date), reading_time(time) if time else F.lit(None).cast("string")
+        return F.col(date), F.col(time) if time else F.lit(None).cast("string")
 
     main, other = pair("JULD"), pair("JULD_LOCATION")
     if main is None:
-        return other or (F.lit(None).cast("date"), F.lit(None).cast("string"))
+        nothing = F.lit(None).cast("string")
+        return other or (nothing, nothing)
     if other is None or "_columns" not in df.columns:
         return main
     own = F.array_contains("_columns", "JULD_DATE") | F.array_contains("_columns", "JULD")
     return F.when(own, main[0]).otherwise(other[0]), F.when(own, main[1]).otherwise(other[1])
 
 
+def date_problem(df: DataFrame) -> Column:
+    """Why the date or time of a row cannot be stored, null when it can."""
+    date, time = _date_texts(df)
+    clock = r"^([01]?[0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9])?$"
+    return (
+        F.when(reading_value(date).isNotNull() & reading_date(date).isNull(), F.lit("date cannot be read"))
+        .when(reading_time(time).isNotNull() & ~reading_time(time).rlike(clock), F.lit("time cannot be read"))
+    )
+
+
 def to_readings(
     df: DataFrame, order: list[str], columns: list[str] | None = None,
     id_column: str = "float_id", carry: list[str] | None = None,
@@ -75,7 +86,7 @@ def to_readings(
     if columns is None:
         hidden = {id_column, "_columns", *FILE_COLUMNS, *order, *carry}
         columns = [n for n, t in df.dtypes if t == "string" and n not in hidden]
-    date, time = _date_pair(df)
+    date, time = (read(text) for read, text in zip((reading_date, reading_time), _date_texts(df)))
     source = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in order]
     # The prefixes keep parameter columns apart from equally named fixed ones.
     fixed = ["float_id", "JULD_DATE", "JULD_TIME", "_source", *carry]

@@ -13,22 +13,24 @@ from floatlake.operators.flatten import flatten_profiles
 from floatlake.operators.index import (
     filter_months, filter_ocean, first_per_platform, new_platforms, parse_index,
 )
+from floatlake.operators.quality import split_rejects
 from floatlake.operators.readings import (
-    float_metadata, resolve_float_id, to_readings, upsert_metadata,
+    date_problem, float_metadata, resolve_float_id, to_readings, upsert_metadata,
 )
-from floatlake.operators.regions import add_region_columns
+from floatlake.operators.regions import add_region_columns, has_region_columns
 from floatlake.operators.summary import (
     prepare_bgc, prepare_core, summarize_bgc, summarize_core,
 )
 from floatlake.plans.increments import (
-    finish_run, new_files, pending_paths, previous_run, read_manifest, read_or_empty,
+    finish_run, new_files, pending_paths, previous_run, read_manifest,
 )
 from floatlake.sources.csv import (
-    FILE_COLUMNS, ROW_ORDER, list_files, read_index, read_mixed_csv, type_levels,
-    with_path_columns,
+    FILE_COLUMNS, ROW_ORDER, list_files, number_rows, read_index, read_mixed_csv,
+    type_levels, with_path_columns,
 )
 from floatlake.sources.profiles import read_profiles
 from floatlake.sources.sinks import write_by_month, write_partitioned, write_readings
+from floatlake.sources.tables import read_or_empty
 
 PROFILE_IDS = ["file", "prof_idx"]
 
@@ -146,6 +148,18 @@ def run_core(
     return written
 
 
+def tag_summaries(spark: SparkSession, source: str, target: str, mode: str = "core") -> bool:
+    """Write a summary table with its labels to ``target``; False if it has them already.
+
+    Spark cannot replace a table it is reading, so the result goes to a place of its own.
+    """
+    df = spark.read.parquet(source)
+    if has_region_columns(df):
+        return False
+    add_region_columns(df, mode).write.mode("overwrite").parquet(target)
+    return True
+
+
 def routed_by_filename(df: DataFrame, filename: str = "filename") -> tuple[DataFrame, DataFrame]:
     """(rows with year, month and day from the file name, rows without a readable date)."""
     dated = df.withColumn("_date", filename_date(filename))
@@ -168,11 +182,14 @@ def load_tables(clean: DataFrame, order: list[str], mode: str = "row") -> tuple[
 def run_load(
     spark: SparkSession, roots: str | list[str], out: str, run_id: int, mode: str = "row",
     steps: tuple[str, ...] = ("clean", "load"), paths: list[str] | None = None,
+    stable_ids: bool = False,
 ) -> dict[str, str]:
     """Dirty CSV trees to cleaned rows, long readings and float metadata.
 
     The CSV text is parsed once, into a columnar table; readings and metadata read
-    only what they need of that. ``paths`` replaces the search for new files.
+    only what they need of that. Rows whose date or time cannot be read are kept apart
+    with the reason. ``paths`` replaces the search for new files; ``stable_ids`` gives
+    a file's readings the same ids in every run (see number_rows).
     """
     written = {}
     manifest, clean_path = f"{out}/manifest", f"{out}/clean/run_id={run_id}"
@@ -181,11 +198,17 @@ def run_load(
         if not paths:
             return written
         raw = read_mixed_csv(spark, paths)
+        raw = number_rows(raw) if stable_ids else raw
         clean = split_datetime_columns(clean_text_columns(raw, FILE_COLUMNS))
         clean.write.mode("overwrite").parquet(clean_path)
         written["clean"] = clean_path
     if "load" in steps:
-        readings, metadata = load_tables(spark.read.parquet(clean_path), ROW_ORDER, mode)
+        clean = spark.read.parquet(clean_path)
+        good, rejected = split_rejects(clean, date_problem(clean))
+        rejects_path = f"{out}/rejects/run_id={run_id}"
+        rejected.write.mode("overwrite").parquet(rejects_path)
+        readings, _ = load_tables(good, ROW_ORDER, mode)
+        _, metadata = load_tables(clean, ROW_ORDER, mode)
         readings_path = f"{out}/readings/run_id={run_id}"
         write_readings(readings, readings_path, "overwrite")
         before = previous_run(spark, manifest, run_id)
@@ -195,7 +218,7 @@ def run_load(
         )
         metadata_path = f"{out}/metadata/run_id={run_id}"
         upsert_metadata(existing, metadata).write.mode("overwrite").parquet(metadata_path)
-        written.update(readings=readings_path, metadata=metadata_path)
+        written.update(readings=readings_path, metadata=metadata_path, rejects=rejects_path)
     if "clean" in steps:
         finish_run(spark, manifest, paths, run_id)
     return written

@@ -8,20 +8,11 @@ own output.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-MANIFEST_SCHEMA = "path string, run_id bigint"
-
+from floatlake.sources.tables import read_or_empty
 
-def read_or_empty(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A Parquet table, empty when it does not exist yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], schema)
-        raise
+MANIFEST_SCHEMA = "path string, run_id bigint"
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:

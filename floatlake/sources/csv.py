@@ -45,6 +45,19 @@ def list_files(spark: SparkSession, roots: str | list[str], pattern: str = "*.cs
     return files.select(_decoded(F.col("path")).alias("path"))
 
 
+def number_rows(df: DataFrame) -> DataFrame:
+    """Turn ``row_pos`` into the row's number in its block.
+
+    Positions in a scan depend on the other files of the scan; numbers in a block do
+    not. Needed only where one file may be loaded under different runs and its
+    readings must get the same ids. A block is one input split, so no group is large.
+    """
+    keys = ["path", "row_block"]
+    starts = df.groupBy(*keys).agg(F.min("row_pos").alias("_start"))
+    numbered = df.join(starts, keys).withColumn("row_pos", F.col("row_pos") - F.col("_start"))
+    return numbered.select(*df.columns)
+
+
 def with_path_columns(df: DataFrame, path: str = "path") -> DataFrame:
     """Add year, month_name and filename of <year>/<month>/<file>.csv; others drop out."""
     parts = year_month_parts(path)

@@ -5,8 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from floatlake.catalog import READINGS_SCHEMA
 from floatlake.functions.dates import month_name
 from floatlake.functions.paths import relative_dir
+from floatlake.operators.readings import without_loaded
+from floatlake.sources.tables import read_or_empty
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -59,8 +62,11 @@ def write_readings(df: DataFrame, path: str, mode: str = "append") -> None:
     )
 
 
-def append_readings(df: DataFrame, path: str) -> None:
-    """Append; loading the same file twice stores its readings twice (see without_loaded)."""
+def append_readings(df: DataFrame, path: str, dedupe: bool = False) -> None:
+    """Append. Loading a file twice stores its readings twice unless ``dedupe`` is set,
+    which leaves out readings whose id is stored already."""
+    if dedupe:
+        df = without_loaded(df, read_or_empty(df.sparkSession, path, READINGS_SCHEMA))
     write_readings(df, path, "append")
 
 

@@ -228,3 +228,39 @@ def test_stream_loads_each_file_once(spark, tree, tmp_path):
     latest = increments.read_manifest(spark, f"{out}/manifest").agg(F.max("run_id")).first()[0]
     floats = spark.read.parquet(f"{out}/metadata/run_id={latest}")
     assert {r.float_id for r in floats.collect()} == {"100", "200", "201", "300"}
+
+
+def test_rejects_are_kept_apart(spark, tmp_path):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    put(root / "1_Sprof.csv", "PRES,JULD\n1,2025-01-01 10:00:00\n2,2025-99-01 10:00:00\n3,2025-01-01 25:61:00\n4,\n")
+    written = flows.run_load(spark, str(root), out, 1)
+    reasons = {r.PRES: r.reason for r in spark.read.parquet(written["rejects"]).collect()}
+    assert reasons == {"2": "date cannot be read", "3": "time cannot be read"}
+    pres = spark.read.parquet(written["readings"]).where("parameter_name = 'PRES'")
+    assert sorted(r.value for r in pres.collect()) == ["1", "4"]
+    assert spark.read.parquet(written["metadata"]).first().float_id == "1"
+
+
+def test_ids_do_not_depend_on_other_files(spark, tmp_path):
+    root = tmp_path / "in"
+    body = "PRES,TEMP\n" + "".join(f"{i},{i}\n" for i in range(50))
+    put(root / "b_Sprof.csv", body)
+    first = flows.run_load(spark, str(root), str(tmp_path / "one"), 1, stable_ids=True)
+    put(root / "a_Sprof.csv", body * 3)
+    second = flows.run_load(spark, str(root), str(tmp_path / "two"), 1, stable_ids=True)
+    once, both = (spark.read.parquet(w["readings"]) for w in (first, second))
+    assert once.join(both.select("id"), "id").count() == once.count() == 100
+    store = str(tmp_path / "store")
+    for _ in range(2):
+        sinks.append_readings(once, store, dedupe=True)
+    assert spark.read.parquet(store).count() == 100
+    sinks.append_readings(both, store, dedupe=True)
+    assert spark.read.parquet(store).count() == both.count()
+
+
+def test_tagging_goes_to_a_new_table(spark, tmp_path):
+    source_path, target = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame([(15.0, 65.0)], "LATITUDE double, LONGITUDE double").write.parquet(source_path)
+    assert flows.tag_summaries(spark, source_path, target)
+    assert spark.read.parquet(target).first().avg_REGION == "Arabian Sea"
+    assert not flows.tag_summaries(spark, target, source_path)
