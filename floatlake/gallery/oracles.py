@@ -315,7 +315,7 @@ FROM (SELECT *, unnest(range(2)) AS i FROM orders)""",
         "split_datetime": f"WITH {_DIRTY} SELECT rn, {_DATE} AS juld_date, {_TIME} AS juld_time FROM d",
         "compact_date": f"WITH {_DIRTY} SELECT rn, CASE WHEN length(date_update) = 14 THEN coalesce(strftime(TRY_STRPTIME(date_update, '%Y%m%d%H%M%S'), '%Y-%m-%d'), date_update) ELSE date_update END AS date_update FROM d",
         "loader_times": f"WITH {_DIRTY} SELECT rn, strftime({_read_date(_DATE)}, '%Y-%m-%d') AS reading_date, substr({_TIME}, 1, 8) AS reading_time, CASE WHEN regexp_matches(juld, '^[0-9]{{4}}-') THEN substr(juld, 1, 10) ELSE '2025-01-01' END AS date_or_default FROM d",
-        "juld_timestamp": f"SELECT o_orderkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS juld, strftime(ts, '%H:%M:%S') AS juld_time FROM {_JULD}",
+        "juld_ts": f"SELECT o_orderkey, strftime(ts, '%Y-%m-%d %H:%M:%S') AS juld, strftime(ts, '%H:%M:%S') AS juld_time FROM {_JULD}",
         "strict_number": f"SELECT line_no, CASE WHEN regexp_matches(f[3], '{number}') THEN TRY_CAST(f[3] AS DOUBLE) END AS latitude, CASE WHEN regexp_matches(f[4], '{number}') THEN TRY_CAST(f[4] AS DOUBLE) END AS longitude FROM (SELECT line_no, string_split(line, ',') AS f FROM ({A.INDEX_LINES}))",
         "filename_parts": f"""SELECT o_orderkey, CASE WHEN dated THEN {_ORDER_DAY} ELSE 'undated' END || '_prof.csv' AS filename,
   'BCG' AS float_type, CAST(year(o_orderdate) AS DOUBLE) AS folder_year, strftime(o_orderdate, '%B') AS month_name,

@@ -59,8 +59,7 @@ def n_levels(spark, sf):
 
 
 def n_levels_range(spark, sf):
-    out = profile.with_n_levels(levels(spark, sf), A.PROFILE_KEYS, A.LEVEL_ORDER, pres="pres")
-    return profile.n_levels_range(out)
+    return profile.n_levels_range(profile.level_counts(levels(spark, sf), A.PROFILE_KEYS, "pres"))
 
 
 def surface_temp(spark, sf):
@@ -505,7 +504,7 @@ QUERIES = {
     "split_datetime": split_datetime,
     "compact_date": compact_date,
     "loader_times": loader_times,
-    "juld_timestamp": juld_timestamp,
+    "juld_ts": juld_timestamp,
     "strict_number": strict_number,
     "filename_parts": filename_parts,
     "month_names": month_names,

@@ -31,6 +31,16 @@ def n_levels_keys(columns: list[str]) -> list[str]:
     return [name for name in found if name is not None]
 
 
+def level_counts(df: DataFrame, keys: list[str] | None = None, pres: str = "PRES") -> DataFrame:
+    """Number of valid pressures and of rows per profile."""
+    keys = keys or n_levels_keys(df.columns)
+    return (
+        df.where(~any_null(keys))
+        .groupBy(*keys)
+        .agg(F.count_if(valid_pressure(pres)).alias("n_levels"), F.count(F.lit(1)).alias(SIZE))
+    )
+
+
 def with_n_levels(
     df: DataFrame, keys: list[str] | None, order: list[str], pres: str = "PRES",
     hot_rows: int = HOT_ROWS,
@@ -41,16 +51,12 @@ def with_n_levels(
     while they aggregate and never move the rows.
     """
     keys = keys or n_levels_keys(df.columns)
-    counts = (
-        df.where(~any_null(keys))
-        .groupBy(*keys)
-        .agg(F.count_if(valid_pressure(pres)).alias("n_levels"), F.count(F.lit(1)).alias(SIZE))
-    )
+    counts = level_counts(df, keys, pres)
     return attach_groups(df, counts, keys, ["n_levels"], SIZE, order, hot_rows)
 
 
 def n_levels_range(df: DataFrame) -> DataFrame:
-    """Smallest and largest level count."""
+    """Smallest and largest level count, of rows or of level_counts."""
     return df.agg(
         F.min("n_levels").alias("min_n_levels"), F.max("n_levels").alias("max_n_levels")
     )
