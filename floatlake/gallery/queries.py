@@ -18,6 +18,8 @@ TABLES = [
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    # All times of the data are UTC, whatever session the caller brings.
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

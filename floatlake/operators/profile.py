@@ -136,8 +136,8 @@ def _levels(df: DataFrame, keys: list[str], order: list[str], pres: str, temp: s
     named = [k for k in dict.fromkeys([*keys, *order]) if k not in (pres, temp)]
     return df.where(~any_null(keys)).select(
         *named,
-        nan_to_null(F.col(pres).cast("double")).alias(pres),
-        nan_to_null(F.col(temp).cast("double")).alias(temp),
+        nan_to_null(F.col(pres).try_cast("double")).alias(pres),
+        nan_to_null(F.col(temp).try_cast("double")).alias(temp),
     )
 
 

@@ -53,6 +53,22 @@ def label_share(df: DataFrame, label: str) -> DataFrame:
     ).orderBy(F.desc("n"), label)
 
 
+def _unwrapped(boxes: DataFrame) -> DataFrame:
+    """Cut boxes across the 180 degree meridian (min_lon > max_lon) into two."""
+    across = F.col("min_lon") > F.col("max_lon")
+    spans = F.when(
+        across,
+        F.array(
+            F.struct(F.col("min_lon").alias("west"), F.lit(180.0).alias("east")),
+            F.struct(F.lit(-180.0).alias("west"), F.col("max_lon").alias("east")),
+        ),
+    ).otherwise(F.array(F.struct(F.col("min_lon").alias("west"), F.col("max_lon").alias("east"))))
+    return boxes.withColumn("_span", F.explode(spans)).select(
+        "prio", "name", "min_lat", "max_lat",
+        F.col("_span.west").alias("min_lon"), F.col("_span.east").alias("max_lon"),
+    )
+
+
 def _cells(boxes: DataFrame) -> DataFrame:
     """One row per box and one-degree cell it touches."""
     def span(low: str, high: str):
@@ -81,8 +97,9 @@ def assign_boxes(
     While the cell-box pairs stay under ``max_broadcast_pairs`` (counted here) they are
     broadcast as one array per cell and the points do not move. Beyond that both sides
     are shuffled; a cell with many points is cut into as many slices as its count asks
-    for, and ``id_columns`` must identify a point. Longitudes lie within +-360.
+    for, and ``id_columns`` must identify a point. Longitudes lie within +-180.
     """
+    boxes = _unwrapped(boxes)
     cells = _cells(boxes)
     pairs = boxes.agg(
         F.sum(
@@ -126,9 +143,9 @@ def _shuffled_cells(
     located: DataFrame, cells: DataFrame, id_columns: list[str], points_per_task: int
 ) -> DataFrame:
     cell = ["_clat", "_clon"]
-    # At most 181 x 721 such cells exist, so this table is always small.
+    # At most 181 x 361 such cells exist, so this table is always small.
     slices = (
-        located.where(F.col("_clat").between(-90, 90) & F.col("_clon").between(-360, 360))
+        located.where(F.col("_clat").between(-90, 90) & F.col("_clon").between(-180, 180))
         .groupBy(*cell)
         .agg(F.ceil(F.count(F.lit(1)) / points_per_task).cast("int").alias("_slices"))
     )

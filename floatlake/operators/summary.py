@@ -193,8 +193,8 @@ def summarize_bgc(
     types = dict(df.dtypes)
 
     states = States(order, is_row_number(rows, order))
-    p = F.col(pres).cast("double") if pres else F.lit(None).cast("double")
-    t = F.col(temp).cast("double") if temp else F.lit(None).cast("double")
+    p = F.col(pres).try_cast("double") if pres else F.lit(None).cast("double")
+    t = F.col(temp).try_cast("double") if temp else F.lit(None).cast("double")
     states.count("rows")
     out = list(row_keys)
     if counting_inside:
@@ -221,7 +221,7 @@ def summarize_bgc(
         layered = summary.withColumn("mixed_layer_depth_m", F.lit(None).cast("double"))
     else:
         levels = rows.select(*dict.fromkeys([*row_keys, *order, pres, temp])).withColumns(
-            {pres: F.col(pres).cast("double"), temp: F.col(temp).cast("double")}
+            {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
         )
         known = States(order)
         size = known.count("rows")
@@ -328,8 +328,8 @@ def summarize_core(
     types = dict(df.dtypes)
 
     states = States(order, is_row_number(rows, order), mergeable=counted)
-    p = F.col(pres).cast("double") if pres else F.lit(None).cast("double")
-    t = F.col(temp).cast("double") if temp else F.lit(None).cast("double")
+    p = F.col(pres).try_cast("double") if pres else F.lit(None).cast("double")
+    t = F.col(temp).try_cast("double") if temp else F.lit(None).cast("double")
     row_count = states.count("rows")
     values: dict[str, Column] = {
         "row_count": row_count,
@@ -369,7 +369,7 @@ def _core_layers(
     pres: str, temp: str, counted: bool, threshold: float, hot_rows: int,
 ) -> DataFrame:
     levels = rows.select(*dict.fromkeys([*fine_keys, *order, pres, temp])).withColumns(
-        {pres: F.col(pres).cast("double"), temp: F.col(temp).cast("double")}
+        {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
     )
     p, t = F.col(pres), F.col(temp)
     known = States(order)

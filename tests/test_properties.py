@@ -63,7 +63,13 @@ def test_grid_equals_box_list(spark):
 
 
 def test_ocean_table_matches_list(spark):
-    assert regions.ocean_boxes(spark).count() == 5
+    grid = [(i, lat / 2.0, lon / 2.0) for i, (lat, lon) in enumerate(
+        (lat, lon) for lat in range(-180, 181, 7) for lon in range(-360, 361, 10))]
+    points = spark.createDataFrame(grid, "id int, lat double, lon double")
+    direct = points.withColumn("direct", fl.assign_ocean("lat", "lon", "boxes"))
+    for pairs in (10**6, 0):
+        out = regions.assign_boxes(direct, regions.ocean_boxes(spark), ["id"], max_broadcast_pairs=pairs)
+        assert out.where("region <> direct").count() == 0 and out.count() == len(grid)
     assert regions.region_boxes(spark).agg(F.max("prio")).first()[0] == 84
 
 
@@ -165,6 +171,13 @@ def test_time_preparation(spark):
     assert (core.JULD, core.JULD_LOCATION_time) == (dt.datetime(2025, 4, 17, 6), "06:00:00")
 
 
+def test_unreadable_numbers_are_missing(spark):
+    df = spark.createDataFrame([(0, "1", "5", "28"), (1, "1", "bad", "27"), (2, "1", "30", "x")],
+                               "row int, PLATFORM_NUMBER string, PRES string, TEMP string")
+    row = profile.profile_metrics(df, ["PLATFORM_NUMBER"], ["row"]).first()
+    assert (row.row_count, row.n_levels, row.max_DEPTH_m, row.surface_temp_C) == (3, 2, 30.0, 28.0)
+
+
 def test_observed_rows(spark, tmp_path):
     df, seen = quality.observe_rows(spark.range(7).toDF("id"))
     df.write.parquet(str(tmp_path / "t"))
