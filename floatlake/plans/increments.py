@@ -37,6 +37,12 @@ def finish_run(spark: SparkSession, manifest: str, paths: list[str], run_id: int
     rows.coalesce(1).write.mode("append").parquet(manifest)
 
 
+def read_finished(spark: SparkSession, path: str, manifest: str) -> DataFrame:
+    """A table written by run, without what runs left behind that never finished."""
+    runs = read_manifest(spark, manifest).select("run_id").distinct().collect()
+    return spark.read.parquet(path).where(F.col("run_id").isin([row["run_id"] for row in runs]))
+
+
 def previous_run(spark: SparkSession, manifest: str, run_id: int) -> int | None:
     """Latest finished run before this one."""
     done = read_manifest(spark, manifest).where(F.col("run_id") < run_id)

@@ -92,7 +92,9 @@ def headers_of(spark: SparkSession, paths: str | list[str], pattern: str = "*.cs
     return sorted((header, sorted(files)) for header, files in groups.items())
 
 
-def _read_one_header(spark: SparkSession, header: str, files: list[str]) -> DataFrame:
+def _read_one_header(
+    spark: SparkSession, header: str, files: list[str], multi_line: bool
+) -> DataFrame:
     names = [name.strip() or f"_unnamed{i}" for i, name in enumerate(next(csv.reader([header])))]
     numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
     scan = (
@@ -100,6 +102,7 @@ def _read_one_header(spark: SparkSession, header: str, files: list[str]) -> Data
         .option("header", "true")
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(files)
     )
     ordered = with_row_order(scan)
@@ -115,20 +118,21 @@ def _read_one_header(spark: SparkSession, header: str, files: list[str]) -> Data
 
 def read_mixed_csv(
     spark: SparkSession, paths: str | list[str], pattern: str = "*.csv",
-    headers: list[tuple[str, list[str]]] | None = None,
+    headers: list[tuple[str, list[str]]] | None = None, multi_line: bool = False,
 ) -> DataFrame:
     """Many CSV files with different headers, united by name, all columns as text.
 
     Spark applies the first header to every file of one scan, so each distinct header
     gets a scan of its own. Equally named columns keep the first. ``headers`` skips
-    the header pass when the caller already knows them.
+    the header pass when the caller already knows them. ``multi_line`` allows line
+    breaks inside quoted values; files are then read whole, one task each.
     """
     groups = headers if headers is not None else headers_of(spark, paths, pattern)
     if not groups:
         raise ValueError(f"no CSV files with a header under {paths}")
     out = None
     for header, files in groups:
-        part = _read_one_header(spark, header, files)
+        part = _read_one_header(spark, header, files, multi_line)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     tail = [c for c in FILE_COLUMNS if c in out.columns]
     return out.select(*[c for c in out.columns if c not in tail], *tail)

@@ -48,6 +48,12 @@ def test_mixed_headers(spark, tree):
         source.read_mixed_csv(spark, tree, "*.none")
 
 
+def test_line_breaks_in_quotes(spark, tmp_path):
+    put(tmp_path / "a.csv", 'A,B\n1,"x\ny"\n2,z\n')
+    df = source.read_mixed_csv(spark, str(tmp_path), multi_line=True)
+    assert [(r.A, r.B) for r in df.orderBy("A").collect()] == [("1", "x\ny"), ("2", "z")]
+
+
 def test_typed_levels(spark, tree):
     df = source.read_levels_csv(spark, tree)
     types = dict(df.dtypes)
@@ -169,8 +175,10 @@ def test_repeated_run_replaces_itself(spark, tree, tmp_path, monkeypatch):
         with pytest.raises(RuntimeError):
             flows.run_load(spark, tree, out, 1)
     n = spark.read.parquet(f"{out}/readings/run_id=1").count()
+    assert increments.read_finished(spark, f"{out}/readings", f"{out}/manifest").count() == 0
     assert flows.run_load(spark, tree, out, 1)
     assert spark.read.parquet(f"{out}/readings").count() == n
+    assert increments.read_finished(spark, f"{out}/readings", f"{out}/manifest").count() == n
 
 
 def test_core_flow(spark, tmp_path):
