@@ -14,7 +14,7 @@ from floatlake.catalog import (
 )
 from floatlake.functions.dates import compact_date, juld_to_timestamp, time_of_day
 from floatlake.functions.geo import assign_ocean, assign_region
-from floatlake.functions.measures import valid_pressure
+from floatlake.functions.measures import valid_pair, valid_pressure
 from floatlake.functions.text import clean_bytes, nan_to_null, to_number
 from floatlake.operators.profile import (
     REFERENCE, SIZE, depth_states, mixed_layer_by_group, n_levels_keys, reference_state,
@@ -143,6 +143,37 @@ def _bgc_value(states: States, name: str, dtype: str, rule: str) -> Column:
     return F.coalesce(mean.cast("string"), states.first(name, value))
 
 
+def _bgc_keys(names: list[str], pres: str | None) -> tuple[list[str], bool]:
+    """Keys of the bgc summary, and whether its groups are exactly the counted profiles.
+
+    Then the level count is one more aggregate of the group; otherwise it has to be
+    put on the rows before they are grouped.
+    """
+    platform, cycle = find_column(names, "PLATFORM_NUMBER"), find_column(names, "CYCLE_NUMBER")
+    if find_column(names, "n_levels") is not None or None in (platform, cycle, pres):
+        return grouping_columns(names), False
+    keys = grouping_columns([*names, "n_levels"])
+    return keys, set(n_levels_keys(names)) <= set(keys)
+
+
+def _bgc_layers(
+    rows: DataFrame, keys: list[str], order: list[str], pres: str, temp: str,
+    threshold: float, hot_rows: int,
+) -> DataFrame:
+    levels = rows.select(*dict.fromkeys([*keys, *order, pres, temp])).withColumns(
+        {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
+    ).where(valid_pair(pres, temp, "bgc"))
+    known = States(order)
+    size = known.count("rows")
+    reference = reference_state(known, F.col(pres), F.col(temp), "bgc")
+    references = known.per_group(levels, keys).select(
+        *keys, size.alias(SIZE), reference.alias(REFERENCE)
+    )
+    return mixed_layer_by_group(
+        levels, references, keys, keys, order, pres, temp, "bgc", threshold, hot_rows
+    )
+
+
 def summarize_bgc(
     df: DataFrame,
     order: list[str],
@@ -155,9 +186,9 @@ def summarize_bgc(
     """Summary of biogeochemical profiles.
 
     ``order`` are the columns giving the row order inside a profile; one whole number
-    is the fastest. ``partition_columns`` (such as the file) are extra keys. ``rules`` maps a
-    column to "mean", "first" or "mixed"; when left out, text columns are looked at
-    once (one extra scan). ``columns`` limits which other columns are summarised.
+    is the fastest. ``partition_columns`` (such as the file) are extra keys. ``rules``
+    maps a column to "mean", "first" or "mixed"; when left out, text columns are looked
+    at once (one extra scan). ``columns`` limits which other columns are summarised.
     Every column keeps its own name. The position used for the labels is the first
     latitude and the first longitude, also given as first_LATITUDE / first_LONGITUDE.
     """
@@ -166,20 +197,9 @@ def summarize_bgc(
     lat, lon = find_column(names, "LATITUDE"), find_column(names, "LONGITUDE")
     df = _present(df)
 
-    counted = True
-    try:
-        level_keys = n_levels_keys(names)
-    except ValueError:
-        counted = False
-    counted = counted and pres is not None
-    counting_inside = False
-    if find_column(names, "n_levels") is None and counted:
-        keys = grouping_columns([*names, "n_levels"])
-        counting_inside = set(level_keys) <= set(keys)
-        if not counting_inside:
-            df = with_n_levels(df, level_keys, order, pres, hot_rows)
-    else:
-        keys = grouping_columns(names)
+    keys, counting_inside = _bgc_keys(names, pres)
+    if "n_levels" in keys and not counting_inside and find_column(names, "n_levels") is None:
+        df = with_n_levels(df, n_levels_keys(names), order, pres, hot_rows)
     keys = list(dict.fromkeys([*(partition_columns or []), *keys]))
     row_keys = [k for k in keys if not (counting_inside and k == "n_levels")]
 
@@ -220,18 +240,7 @@ def summarize_bgc(
     if pres is None or temp is None:
         layered = summary.withColumn("mixed_layer_depth_m", F.lit(None).cast("double"))
     else:
-        levels = rows.select(*dict.fromkeys([*row_keys, *order, pres, temp])).withColumns(
-            {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
-        )
-        known = States(order)
-        size = known.count("rows")
-        reference = reference_state(known, F.col(pres), F.col(temp), "bgc")
-        references = known.per_group(levels, row_keys).select(
-            *row_keys, size.alias(SIZE), reference.alias(REFERENCE)
-        )
-        layers = mixed_layer_by_group(
-            levels, references, row_keys, row_keys, order, pres, temp, "bgc", threshold, hot_rows
-        )
+        layers = _bgc_layers(rows, row_keys, order, pres, temp, threshold, hot_rows)
         layered = summary.join(layers, row_keys, "left")
     measures = ["surface_temp_C", "mixed_layer_depth_m", "min_DEPTH_m", "max_DEPTH_m",
                 "avg_DEPTH_m", "avg_REGION", "ocean", "first_LATITUDE", "first_LONGITUDE"]

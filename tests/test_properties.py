@@ -187,3 +187,11 @@ def test_observed_rows(spark, tmp_path):
 def test_null_columns(spark):
     df = spark.createDataFrame([("a", " ", None, "b''"), (None, "", "nan", "b''")], "x string, y string, z string, q string")
     assert cleaning.drop_null_columns(df).columns == ["x", "q"]
+
+
+def test_platform_column_of_another_name(spark):
+    """Groups wider than the counted profiles: the level count is set on the rows first."""
+    rows = [(i, "A", str(i // 4), 1, 5.0 * (i % 4), 28.0 - i % 4) for i in range(8)]
+    df = spark.createDataFrame(rows, "row int, PLATFORM_TYPE string, PLATFORM_NUMBER string, CYCLE_NUMBER int, PRES double, TEMP double")
+    out = summary.summarize_bgc(df, ["row"], {}, ["TEMP"]).collect()
+    assert [(r.PLATFORM_TYPE, r.CYCLE_NUMBER, r.n_levels, r.max_DEPTH_m) for r in out] == [("A", 1, 4, 15.0)]
