@@ -6,6 +6,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -20,8 +21,10 @@ from floatlake.llm.common import blocks, free_name, record_batch
 #: Embedding positions sampled for one key.
 SAMPLED = 5
 #: Share of embedding positions by which a window with few edits is taken to differ.
-DIFFERING = 0.25
+DIFFERING = 0.4
 RECALL = 0.95
+#: Independent walks that the repetitions are dealt to: an edit that throws one off may not throw off the next.
+WALKS = 4
 #: Text of the items whose index is broadcast at once; more items are searched in further passes.
 ITEM_BYTES = 8 << 20
 #: Largest share of an item's words that may be edited.
@@ -131,7 +134,7 @@ class ItemIndex:
     def _class(self, length: int, members: list[int], repeats: int) -> _Keys:
         rng = np.random.default_rng(1000 + length)
         steps = 2 * length
-        turns = rng.integers(0, 2, (steps, 256), dtype=np.uint8)
+        turns = rng.integers(0, 2, (WALKS, steps, 256), dtype=np.uint8)
         picks = np.sort(np.array([rng.choice(steps, min(SAMPLED, steps), replace=False) for _ in range(repeats)]), axis=1)
         entry = _Keys(length, picks, turns, [], [], [], [])
         codes, starts, items, offsets, base = [], [], [], [], 0
@@ -157,27 +160,30 @@ class ItemIndex:
     @staticmethod
     def _window_keys(entry: _Keys, symbols: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
         """For each repetition the key of every window."""
-        wanted = set(entry.picks.ravel().tolist())
-        at, end = starts.copy(), starts + entry.length
-        padded = np.concatenate((symbols, [0]))
-        written: dict[int, np.ndarray] = {}
-        for step in range(max(wanted) + 1):
-            inside = at < end
-            symbol = np.where(inside, padded[np.minimum(at, len(symbols))], _PAD)
-            if step in wanted:
-                written[step] = symbol.astype(np.uint64)
-            at += entry.turns[step][symbol & 255] & inside
-        for r, picks in enumerate(entry.picks):
-            key = np.full(len(starts), r + 1, np.uint64)
-            for step in picks:
-                key = (key ^ written[step]) * np.uint64(0x9E3779B97F4A7C15)
-                key ^= key >> np.uint64(29)
-            yield key
+        padded = np.append(symbols, 0)
+        end = starts + entry.length
+        for walk in range(min(WALKS, len(entry.picks))):
+            picked = entry.picks[walk::WALKS]
+            wanted = set(picked.ravel().tolist())
+            at = starts.copy()
+            written: dict[int, np.ndarray] = {}
+            for step in range(max(wanted) + 1):
+                symbol = padded[at]
+                inside = at < end
+                if step in wanted:
+                    written[step] = np.where(inside, symbol, _PAD).astype(np.uint64)
+                at += entry.turns[walk, step][symbol & 255] & inside
+            for number, picks in enumerate(picked):
+                key = np.full(len(starts), 1 + walk + number * WALKS, np.uint64)
+                for step in picks:
+                    key = (key ^ written[step]) * np.uint64(0x9E3779B97F4A7C15)
+                    key ^= key >> np.uint64(29)
+                yield key
 
     def search(self, texts: list[list[str]]) -> list[tuple[int, int, int, int, int]]:
         """`(text, item, distance, first word, end word)` of every item found in a text."""
         get = self.vocabulary.get
-        codes = [np.fromiter((get(w, 0) for w in words), np.int64, len(words)) for words in texts]
+        codes = [np.fromiter(map(get, words, repeat(0)), np.int64, len(words)) for words in texts]
         counts = np.array([len(x) for x in codes], np.int64)
         ends = np.cumsum(counts)
         firsts = ends - counts
