@@ -129,4 +129,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
 FROM judged GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_url_filters": _URL_SQL, "op8_line_dedup": _LINES_SQL}
+_WINDOWS_SQL = f"""
+WITH texts AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '{_SPACES}+'), lambda x: x <> '') AS words FROM documents),
+windows AS (
+  SELECT doc_id, place, md5(array_to_string(words[place:place + 49], ' ')) AS key
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 48)) AS place FROM texts)
+), firsts AS (SELECT key, min(doc_id) AS first FROM windows GROUP BY key HAVING min(doc_id) < max(doc_id)),
+covered AS (
+  SELECT DISTINCT doc_id, unnest(range(place, place + 50)) AS place
+  FROM windows JOIN firsts USING (key) WHERE doc_id > first
+), numbered AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM texts),
+kept AS (
+  SELECT n.doc_id, count(*) AS n_words, count(c.place) AS n_removed, string_agg(word, ' ' ORDER BY n.place) FILTER (WHERE c.place IS NULL) AS kept
+  FROM numbered n LEFT JOIN covered c ON n.doc_id = c.doc_id AND n.place = c.place GROUP BY n.doc_id
+)
+SELECT t.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op3_url_filters": _URL_SQL, "op4_substring_dedup": _WINDOWS_SQL, "op8_line_dedup": _LINES_SQL}
