@@ -4,9 +4,12 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
+from floatlake.gallery.oracles import oracles
+from floatlake.gallery.queries import QUERIES as GALLERY
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+#: Queries of the text operators are tested with them.
+QUERIES, SQL = GALLERY, oracles()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +19,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
