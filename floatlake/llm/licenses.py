@@ -15,6 +15,8 @@ GRAM = 3
 DRIFT = 4
 #: Share of a template's words that verified k-grams must cover.
 COVERED = 0.8
+#: Up to so many template k-grams, hash ends are tested before the join.
+FILTER_GRAMS = 10_000
 
 # Phrases that stand for a label wherever they occur.
 BASE_PHRASES = {"cc-by": "cc by", "gpl": "general public license", "reserved": "all rights reserved"}
@@ -88,17 +90,40 @@ def base_places(docs: DataFrame, phrases: dict[str, str], id_column: str = "doc_
     )
 
 
-def grams(words: DataFrame, keys: list[str]) -> DataFrame:
-    """`keys`, `pos`, `h`, `g`: every GRAM consecutive words, hashed and written out."""
-    part = lambda i, k: F.get("words", i + k)
-    each = F.transform(
-        F.sequence(F.lit(0), F.size("words") - GRAM),
-        lambda i: F.struct(
-            i.alias("pos"), F.xxhash64(*(part(i, k) for k in range(GRAM))).alias("h"),
-            F.concat_ws(" ", *(part(i, k) for k in range(GRAM))).alias("g"),
-        ),
-    )
-    return words.filter(F.size("words") >= GRAM).select(*keys, F.explode(each).alias("x")).select(*keys, "x.pos", "x.h", "x.g")
+def grams(words: DataFrame, keys: list[str], wanted: list[int] | None = None) -> DataFrame:
+    """`keys`, `pos`, `h`, `g`: every GRAM consecutive words, hashed and written out.
+
+    `wanted` is an array of longs, a power of two long: only grams whose hash ends in the
+    number of a set bit are written out.
+    """
+    hashed = words.filter(F.size("words") >= GRAM).select(*keys, "words", F.transform("words", lambda w: F.xxhash64(w)).alias("each"))
+    gram = lambda i: F.xxhash64(*(F.get("each", i + k) for k in range(GRAM)))
+    places = F.sequence(F.lit(0), F.size("words") - GRAM)
+    if wanted is not None:
+        places = F.filter(places, lambda i: _bit(wanted, gram(i)))
+    placed = F.transform(places, lambda i: F.struct(
+        i.alias("pos"), gram(i).alias("h"), F.concat_ws(" ", *(F.get("words", i + k) for k in range(GRAM))).alias("g")
+    ))
+    return hashed.select(*keys, F.explode(placed).alias("x")).select(*keys, "x.pos", "x.h", "x.g")
+
+
+def _bit(wanted: list[int], value: Column) -> Column:
+    """Whether the bit numbered by the end of a hash is set."""
+    word = F.get(F.array(*map(F.lit, wanted)), F.shiftrightunsigned(value, 6).bitwiseAND(F.lit(len(wanted) - 1)).cast("int"))
+    return F.getbit(word, value.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def gram_filter(known: DataFrame) -> list[int] | None:
+    """Hash ends of the template grams as bits; none for over FILTER_GRAMS of them."""
+    n = known.count()
+    if n > FILTER_GRAMS:
+        return None
+    size = 1 << max(10, (16 * n).bit_length())
+    ends = known.select(F.col("h").bitwiseAND(F.lit(size - 1)).alias("e")).distinct().collect()
+    words = [0] * (size // 64)
+    for row in ends:
+        words[row.e >> 6] |= 1 << (row.e & 63)
+    return [w - (1 << 64) if w >> 63 else w for w in words]
 
 
 def license_spans(
@@ -108,7 +133,7 @@ def license_spans(
     """`did, t, label, first_word, last_word, score`: places of templates (`label`, `text`) in documents.
 
     All k-grams of words of every text meet the template positions in a join, by hash and then
-    word by word. Hits are counted by diagonal (place in the text less place in the template);
+    word by word; those whose hash ends like no template's are left out before it. Hits are counted by diagonal (place in the text less place in the template);
     diagonals at most DRIFT apart are one place, since words put in or left out shift the rest.
     A place holds if its k-grams cover `covered` of the template's words and it is not longer
     than the template by over half; the share covered is its score.
@@ -117,7 +142,7 @@ def license_spans(
     rows = docs.select(row_id(id_column).alias("did"), F.xxhash64(text).alias("t"), license_words(text).alias("words"))
     known = templates.select("label", license_words(F.col("text")).alias("words")).withColumn("size", F.size("words"))
     known = grams(known, ["label", "size"]).withColumnsRenamed({"pos": "tpos", "g": "tg"})
-    hits = grams(rows, ["did", "t"]).join(known, "h").filter(F.col("g") == F.col("tg"))
+    hits = grams(rows, ["did", "t"], gram_filter(known)).join(known, "h").filter(F.col("g") == F.col("tg"))
     place = ["did", "t", "label", "size"]
     diagonals = hits.groupBy(*place, (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
         F.collect_set("tpos").alias("at"), F.min("pos").alias("first"), F.max("pos").alias("last")
