@@ -210,7 +210,9 @@ def column_type(name: str) -> str:
         return "timestamp"
     if upper in _LONG_COLUMNS:
         return "bigint"
-    if upper in _DOUBLE_COLUMNS or _MEASUREMENT.match(upper):
+    if upper in _DOUBLE_COLUMNS or _MEASUREMENT.match(upper) or upper.endswith("_ERROR"):
+        return "double"
+    if upper.startswith("HISTORY_") and "PRES" in upper:
         return "double"
     return "string"
 

@@ -43,17 +43,18 @@ def clean_bytes(c: Column | str) -> Column:
     return F.when(wrapped, inner).otherwise(text)
 
 
-def decode_text(c: Column | str, drop_invalid: bool = False) -> Column:
-    """Binary to UTF-8 text; with drop_invalid undecodable bytes are left out."""
+def decode_text(c: Column | str, drop_invalid: bool = True) -> Column:
+    """Binary to UTF-8 text; undecodable bytes are left out, or with drop_invalid off an error."""
     c = col(c)
     if drop_invalid:
         return F.replace(F.make_valid_utf8(c.cast("string")), F.lit("�"), F.lit(""))
     return F.decode(c, "UTF-8")
 
 
-def join_chars(c: Column | str) -> Column:
-    """One trimmed string from an array of characters."""
-    return strip(F.array_join(col(c), ""))
+def join_chars(c: Column | str, binary: bool = False) -> Column:
+    """One trimmed string from an array of characters, or of bytes in binary form."""
+    chars = F.transform(col(c), lambda x: decode_text(x)) if binary else col(c)
+    return strip(F.array_join(chars, ""))
 
 
 def parses_as_float(c: Column | str) -> Column:

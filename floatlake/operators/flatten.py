@@ -95,7 +95,7 @@ def profile_values(df: DataFrame, roles: dict[str, str]) -> dict[str, Column]:
         elif role == "history":
             values[name] = last_of(name, is_text)
         elif role == "chars":
-            values[name] = join_chars(name)
+            values[name] = join_chars(name, isinstance(_base(dtype), T.BinaryType))
         elif role == "other":
             values[name] = first_element(name, dtype)
     return values

@@ -3,36 +3,38 @@ prefix of steps can be run, and a lost executor never repeats an earlier step.""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from floatlake.catalog import METADATA_SCHEMA
 from floatlake.functions.dates import filename_date, month_number
-from floatlake.functions.paths import float_type
+from floatlake.functions.paths import float_type, year_month_parts
 from floatlake.operators.cleaning import clean_text_columns, split_datetime_columns
 from floatlake.operators.flatten import flatten_profiles
 from floatlake.operators.index import (
-    filter_months, filter_ocean, first_per_platform, new_platforms, parse_index,
+    filter_months, filter_ocean, first_per_platform, new_platforms, parse_index, rejected_lines,
 )
-from floatlake.operators.quality import split_rejects
+from floatlake.operators.quality import average_columns, observe_rows, split_rejects
 from floatlake.operators.readings import (
     date_problem, float_metadata, resolve_float_id, to_readings, upsert_metadata,
 )
 from floatlake.operators.regions import add_region_columns, has_region_columns
 from floatlake.operators.summary import (
-    prepare_bgc, prepare_core, summarize_bgc, summarize_core,
+    core_grouping_columns, grouping_columns, prepare_bgc, prepare_core, summarize_bgc, summarize_core,
 )
 from floatlake.plans.increments import (
-    finish_run, new_files, pending_paths, previous_run, read_manifest,
+    finish_run, finished_runs, keep_pending, new_files, pending_paths, previous_run, read_manifest,
 )
 from floatlake.sources.csv import (
-    FILE_COLUMNS, ROW_ORDER, list_files, number_rows, read_index, read_mixed_csv,
+    FILE_COLUMNS, ROW_ORDER, escaped, list_files, number_rows, read_index, read_mixed_csv,
     type_levels, with_path_columns,
 )
 from floatlake.sources.profiles import read_profiles
-from floatlake.sources.sinks import write_by_month, write_partitioned, write_readings
+from floatlake.sources.sinks import write_by_month, write_counters, write_mirrored, write_partitioned, write_readings
 from floatlake.sources.tables import read_or_empty
 
 PROFILE_IDS = ["file", "prof_idx"]
+#: Counter of the readings of each float type.
+READING_COUNTS = {"BCG": "bgc_readings", "NON-BCG": "core_readings"}
 
 
 def bgc_platforms(lines: DataFrame, order: list[str], year: int, months: list[int], ocean: str = "I") -> DataFrame:
@@ -69,9 +71,14 @@ def core_summary(levels: DataFrame, order: list[str], default_date: str | None =
     return add_region_columns(summary, "core")
 
 
-def _pending(spark: SparkSession, roots, manifest: str, pattern: str) -> list[str]:
-    found = list_files(spark, roots, pattern)
-    return pending_paths(new_files(found, read_manifest(spark, manifest)))
+def _run_folder(out: str, table: str, run_id: int) -> str:
+    return f"{out}/{table}/run_id={run_id}"
+
+
+def _taken_files(spark: SparkSession, found: DataFrame, out: str, run_id: int) -> DataFrame:
+    """The files this run takes, as a written table."""
+    pending = new_files(found, read_manifest(spark, f"{out}/manifest"))
+    return keep_pending(pending, _run_folder(out, "pending", run_id))
 
 
 def run_bgc(
@@ -82,69 +89,101 @@ def run_bgc(
 ) -> dict[str, str]:
     """Biogeochemical floats: platform list, level rows and profile summaries.
 
-    Profile files already in the manifest are left out. Returns the paths written.
+    Index lines that cannot be used are kept apart with the reason. Profile files already
+    in the manifest are left out. Returns the paths written.
     """
-    written = {}
+    written, counts = {}, {}
     if "platforms" in steps:
-        found = bgc_platforms(read_index(spark, index), ROW_ORDER, year, months)
+        lines = read_index(spark, index)
+        written["rejects"] = _run_folder(out, "rejects", run_id)
+        rejected, seen = observe_rows(rejected_lines(lines).select("line", "reason"), "rejects")
+        rejected.write.mode("overwrite").parquet(written["rejects"])
+        counts["errors"] = seen.get["rows"]
+        found = bgc_platforms(lines, ROW_ORDER, year, months)
         update_platform_list(spark, found, f"{out}/platforms")
         written["platforms"] = f"{out}/platforms"
-    manifest, levels_path = f"{out}/manifest", f"{out}/levels/run_id={run_id}"
+    levels_path = _run_folder(out, "levels", run_id)
     if "levels" in steps:
-        paths = _pending(spark, profiles, manifest, "*.parquet")
+        files = _taken_files(spark, list_files(spark, profiles, "*.parquet"), out, run_id)
+        paths = pending_paths(files)
         if not paths:
             return written
-        bgc_levels(read_profiles(spark, paths)).write.mode("overwrite").parquet(levels_path)
+        counts["files"] = len(paths)
+        levels, seen = observe_rows(bgc_levels(read_profiles(spark, [escaped(p) for p in paths])), "levels")
+        levels.write.mode("overwrite").parquet(levels_path)
+        counts["rows"] = seen.get["rows"]
         written["levels"] = levels_path
     if "summary" in steps:
-        summary_path = f"{out}/summary/run_id={run_id}"
+        summary_path = _run_folder(out, "summary", run_id)
         summary = bgc_summary(spark.read.parquet(levels_path), rules)
-        summary.write.mode("overwrite").parquet(summary_path)
+        # Files of a profile lie together and in the order of their keys.
+        summary.sortWithinPartitions(*grouping_columns(summary.columns)).write.mode("overwrite").parquet(summary_path)
         written["summary"] = summary_path
     if "levels" in steps:
-        finish_run(spark, manifest, paths, run_id)
+        written["counters"] = write_counters(spark, _run_folder(out, "counters", run_id), counts)
+        finish_run(spark, f"{out}/manifest", files, run_id)
     return written
 
 
+def placed_files(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files below <year>/<month name>/, other files with the reason)."""
+    parts = found.select("path", year_month_parts("path").alias("_parts"))
+    number = month_number("_parts.month_name")
+    reason = (
+        F.when(F.col("_parts").isNull(), "not below a <year>/<month>/ folder")
+        .when(number.isNull(), "month folder is not known")
+    )
+    good, rejected = split_rejects(parts, reason)
+    return good.select("path"), rejected.select("path", "reason")
+
+
 def run_core(
     spark: SparkSession, out: str, run_id: int, csv_root: str | None = None,
     steps: tuple[str, ...] = ("levels", "summary"), default_date: str | None = None,
 ) -> dict[str, str]:
     """Core floats: daily CSV files to typed level rows and labelled monthly summaries.
 
-    A month with new files is summarised again from all its level rows; other months
-    are not read. Files outside <year>/<month>/ folders are not part of the flow.
+    A month with new files is summarised again from all its level rows of finished runs and
+    this one; other months are not read. Files outside <year>/<month>/ folders are listed as
+    rejects and not recorded: once moved, they are taken.
     """
-    written = {}
-    manifest, levels_path, summary_path = f"{out}/manifest", f"{out}/levels", f"{out}/summary"
+    written, counts = {}, {}
+    levels_path, own = f"{out}/levels", _run_folder(out, "levels", run_id)
     if "levels" in steps:
-        paths = _pending(spark, csv_root, manifest, "*.csv")
+        usable, rejected = placed_files(list_files(spark, csv_root, "*.csv"))
+        files = _taken_files(spark, usable, out, run_id)
+        paths = pending_paths(files)
         if not paths:
             return written
+        counts["files"] = len(paths)
         placed = with_path_columns(read_mixed_csv(spark, paths))
         levels = (
             type_levels(clean_text_columns(placed, ["path", "filename", "month_name"]))
-            .withColumns({"month": month_number("month_name"), "run_id": F.lit(run_id)})
-            .where(F.col("month").isNotNull())
+            .withColumn("month", month_number("month_name"))
             .drop("month_name", "_columns")
         )
-        write_partitioned(levels, levels_path, ["year", "month", "run_id"])
+        levels, seen = observe_rows(levels, "levels")
+        write_partitioned(levels, own, ["year", "month"], whole=True)
+        counts["rows"] = seen.get["rows"]
         written["levels"] = levels_path
+        written["rejects"] = _run_folder(out, "rejects", run_id)
+        rejected, seen = observe_rows(rejected, "rejects")
+        rejected.write.mode("overwrite").parquet(written["rejects"])
+        counts["errors"] = seen.get["rows"]
     if "summary" in steps:
-        levels = spark.read.option("mergeSchema", "true").parquet(levels_path)
-        touched = [
-            (row["year"], row["month"])
-            for row in levels.where(F.col("run_id") == run_id).select("year", "month").distinct().collect()
-        ]
-        if touched:
-            in_months = F.lit(False)
-            for year, month in sorted(touched):
-                in_months = in_months | ((F.col("year") == year) & (F.col("month") == month))
-            rows = levels.where(in_months).drop("run_id", "filename")
-            write_by_month(core_summary(rows, ROW_ORDER, default_date), summary_path)
-            written["summary"] = summary_path
+        months = spark.read.parquet(own).select("year", "month").distinct().collect()
+        # Only folders of the touched months are opened.
+        folders = [f"{escaped(levels_path)}/run_id=*/year={m.year}/month={m.month}" for m in sorted(months)]
+        table = spark.read.option("basePath", levels_path).option("mergeSchema", "true").parquet(*folders)
+        current = spark.range(1).select(F.lit(run_id).cast("bigint").alias("run_id"))
+        runs = finished_runs(spark, f"{out}/manifest").unionByName(current)
+        rows = table.join(runs, "run_id", "left_semi").drop("run_id", "filename")
+        summary = core_summary(rows, ROW_ORDER, default_date)
+        write_by_month(summary, f"{out}/summary", sort=core_grouping_columns(summary.columns))
+        written["summary"] = f"{out}/summary"
     if "levels" in steps:
-        finish_run(spark, manifest, paths, run_id)
+        written["counters"] = write_counters(spark, _run_folder(out, "counters", run_id), counts)
+        finish_run(spark, f"{out}/manifest", files, run_id)
     return written
 
 
@@ -181,44 +220,73 @@ def load_tables(clean: DataFrame, order: list[str], mode: str = "row") -> tuple[
 
 def run_load(
     spark: SparkSession, roots: str | list[str], out: str, run_id: int, mode: str = "row",
-    steps: tuple[str, ...] = ("clean", "load"), paths: list[str] | None = None,
-    stable_ids: bool = False,
+    steps: tuple[str, ...] = ("clean", "load"), files: DataFrame | None = None,
+    stable_ids: bool = True,
 ) -> dict[str, str]:
     """Dirty CSV trees to cleaned rows, long readings and float metadata.
 
     The CSV text is parsed once, into a columnar table; readings and metadata read
     only what they need of that. Rows whose date or time cannot be read are kept apart
-    with the reason. ``paths`` replaces the search for new files; ``stable_ids`` gives
-    a file's readings the same ids in every run (see number_rows).
+    with the reason. ``files`` (``path``) replaces the search; files in the manifest are
+    left out of it too. ``stable_ids`` gives a file's readings the same ids in every run
+    (see number_rows).
     """
-    written = {}
-    manifest, clean_path = f"{out}/manifest", f"{out}/clean/run_id={run_id}"
+    written, counts = {}, {}
+    manifest, clean_path = f"{out}/manifest", _run_folder(out, "clean", run_id)
     if "clean" in steps:
-        paths = paths if paths is not None else _pending(spark, roots, manifest, "*.csv")
+        files = _taken_files(spark, list_files(spark, roots, "*.csv") if files is None else files, out, run_id)
+        paths = pending_paths(files)
         if not paths:
             return written
+        counts["files"] = len(paths)
         raw = read_mixed_csv(spark, paths)
         raw = number_rows(raw) if stable_ids else raw
-        clean = split_datetime_columns(clean_text_columns(raw, FILE_COLUMNS))
+        clean, seen = observe_rows(split_datetime_columns(clean_text_columns(raw, FILE_COLUMNS)), "clean")
         clean.write.mode("overwrite").parquet(clean_path)
+        counts["rows"] = seen.get["rows"]
         written["clean"] = clean_path
     if "load" in steps:
         clean = spark.read.parquet(clean_path)
         good, rejected = split_rejects(clean, date_problem(clean))
-        rejects_path = f"{out}/rejects/run_id={run_id}"
+        rejects_path = _run_folder(out, "rejects", run_id)
+        rejected, seen = observe_rows(rejected, "rejects")
         rejected.write.mode("overwrite").parquet(rejects_path)
+        counts["errors"] = seen.get["rows"]
         readings, _ = load_tables(good, ROW_ORDER, mode)
         _, metadata = load_tables(clean, ROW_ORDER, mode)
-        readings_path = f"{out}/readings/run_id={run_id}"
-        write_readings(readings, readings_path, "overwrite")
+        readings_path = _run_folder(out, "readings", run_id)
+        by_type = Observation("readings")
+        counted = [F.count_if(F.col("float_type") == kind).alias(name) for kind, name in READING_COUNTS.items()]
+        write_readings(readings.observe(by_type, *counted), readings_path, "overwrite")
+        counts |= by_type.get
         before = previous_run(spark, manifest, run_id)
         existing = (
             spark.createDataFrame([], METADATA_SCHEMA) if before is None
-            else spark.read.schema(METADATA_SCHEMA).parquet(f"{out}/metadata/run_id={before}")
+            else spark.read.schema(METADATA_SCHEMA).parquet(_run_folder(out, "metadata", before))
         )
-        metadata_path = f"{out}/metadata/run_id={run_id}"
+        metadata_path = _run_folder(out, "metadata", run_id)
         upsert_metadata(existing, metadata).write.mode("overwrite").parquet(metadata_path)
+        counts |= average_columns(spark.read.parquet(metadata_path)).first().asDict()
         written.update(readings=readings_path, metadata=metadata_path, rejects=rejects_path)
     if "clean" in steps:
-        finish_run(spark, manifest, paths, run_id)
+        written["counters"] = write_counters(spark, _run_folder(out, "counters", run_id), counts)
+        finish_run(spark, manifest, files, run_id)
     return written
+
+
+def run_clean(spark: SparkSession, root: str, out: str) -> str:
+    """A tree of cleaned CSV files like the one below ``root``, one folder per file.
+
+    Columns without any value in a file are left out of that file's copy. Files are grouped
+    by the set of columns they fill, so a pass writes all files of one set.
+    """
+    clean = split_datetime_columns(clean_text_columns(read_mixed_csv(spark, root), FILE_COLUMNS))
+    columns = [c for c in clean.columns if c not in FILE_COLUMNS]
+    filled = F.array_compact(F.array(*[F.when(F.max(F.col(f"`{c}`").isNotNull()), F.lit(c)) for c in columns]))
+    per_file = clean.groupBy("path").agg(filled.alias("_filled"))
+    # A header for every distinct set: as few as the sources have kinds of files.
+    for row in per_file.select("_filled").distinct().collect():
+        same = per_file.where(F.col("_filled") == F.array(*[F.lit(c) for c in row["_filled"]]).cast("array<string>"))
+        part = clean.join(same.select("path"), "path", "left_semi")
+        write_mirrored(part.select(*row["_filled"], *FILE_COLUMNS), root, out)
+    return out

@@ -8,6 +8,7 @@ again, unlike any order after a shuffle.
 from __future__ import annotations
 
 import csv
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -26,6 +27,11 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
+def escaped(path: str) -> str:
+    """A path as a pattern that stands for itself only."""
+    return re.sub(r"([\\[\]{}*?])", r"\\\1", path)
+
+
 def with_row_order(df: DataFrame) -> DataFrame:
     """Add path, filename and the row order to a file scan."""
     path = _decoded(F.col("_metadata.file_path"))
@@ -79,11 +85,12 @@ def read_index(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def headers_of(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> list[tuple[str, list[str]]]:
     """(header line, files) for every distinct header.
 
-    One text pass over the first blocks finds the first line of each file. What comes
-    to the driver is the file list Spark's own scan planning holds there as well.
+    A text scan keeps the rows of each file's first block and of those the first line.
+    What comes to the driver is the file list Spark's own scan planning holds there as well.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    lines = with_row_order(reader.text(paths)).where(F.col("row_block") == 0)
+    # The filter stands below the row positions, so other blocks end in the scan's own stage.
+    lines = with_row_order(reader.text(paths).where(F.col("_metadata.file_block_start") == 0))
     first = lines.groupBy("path").agg(F.min_by("value", "row_pos").alias("header"))
     rows = first.select("path", "header").toLocalIterator()
     groups: dict[str, list[str]] = {}
@@ -103,14 +110,19 @@ def _read_one_header(
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", multi_line)
-        .csv(files)
+        .csv([escaped(file) for file in files])
     )
     ordered = with_row_order(scan)
-    seen, picked = set(), []
+    seen, taken, picked = set(), {c.upper() for c in FILE_COLUMNS}, []
     for i, name in enumerate(names):
-        if name.upper() not in seen:
-            seen.add(name.upper())
-            picked.append(F.col(f"_c{i}").alias(name))
+        if name not in seen:
+            seen.add(name)
+            # Names that differ in case only are columns of their own, told apart by a number.
+            own, k = name, 2
+            while own.upper() in taken:
+                own, k = f"{name}_{k}", k + 1
+            taken.add(own.upper())
+            picked.append(F.col(f"_c{i}").alias(own))
     columns = F.array(*[F.lit(name) for name in names])
     return ordered.select(*picked, *[c for c in FILE_COLUMNS if c != "_columns"],
                           columns.alias("_columns"))
@@ -123,7 +135,8 @@ def read_mixed_csv(
     """Many CSV files with different headers, united by name, all columns as text.
 
     Spark applies the first header to every file of one scan, so each distinct header
-    gets a scan of its own. Equally named columns keep the first. ``headers`` skips
+    gets a scan of its own. Equally named columns keep the first; a name that differs
+    only in case from an earlier one gets a number. ``headers`` skips
     the header pass when the caller already knows them. ``multi_line`` allows line
     breaks inside quoted values; files are then read whole, one task each.
     """
