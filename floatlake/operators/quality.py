@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from floatlake.catalog import FLOAT_TYPES
-from floatlake.operators.skew import HOT_ROWS, attach_flag
 
 
 def duplicate_floats(metadata: DataFrame) -> DataFrame:
@@ -26,12 +25,13 @@ def missing_fields(readings: DataFrame) -> DataFrame:
     return readings.where(F.col("float_id").isNull() | F.col("parameter_name").isNull())
 
 
-def orphan_readings(
-    readings: DataFrame, metadata: DataFrame, order: list[str], hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Readings of floats that have no metadata row."""
-    marked = attach_flag(readings, metadata, ["float_id"], "_known", order, hot_rows)
-    return marked.where(~F.col("_known")).drop("_known")
+def orphan_readings(readings: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Readings of floats that have no metadata row.
+
+    One anti-join: rows of a frequent float stay where they are when the ids are broadcast,
+    and Spark splits a skewed left side when they are not.
+    """
+    return readings.join(metadata.select("float_id").distinct(), "float_id", "left_anti").select(*readings.columns)
 
 
 def split_rejects(df: DataFrame, problem: Column) -> tuple[DataFrame, DataFrame]:

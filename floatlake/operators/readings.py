@@ -207,8 +207,20 @@ def upsert_metadata(existing: DataFrame, incoming: DataFrame, order: list[str] |
 
 
 def without_loaded(readings: DataFrame, loaded: DataFrame) -> DataFrame:
-    """Readings whose id is not stored yet. Ids are unique, so no key is hot."""
-    return readings.join(loaded.select("id").distinct(), "id", "left_anti")
+    """Readings whose id is not stored yet. Ids are unique, so no key is hot.
+
+    A stored table laid out by float type and year is read only where the new rows lie:
+    the pairs they hold are few, and Spark prunes partitions by them.
+    """
+    place = [c for c in ("float_type", "year") if c in readings.columns and c in loaded.columns]
+    if place:
+        near = readings.select(*place).distinct()
+        unplaced = F.lit(False)
+        for name in place:
+            unplaced = unplaced | F.col(name).isNull()
+        # Folders of null values are few, and no equality finds them.
+        loaded = loaded.join(F.broadcast(near), place, "left_semi").unionByName(loaded.where(unplaced))
+    return readings.join(loaded.select("id"), "id", "left_anti")
 
 
 def count_readings(readings: DataFrame) -> DataFrame:
@@ -220,9 +232,12 @@ def readings_of_float(readings: DataFrame, float_id: str) -> DataFrame:
 
 
 def readings_between(readings: DataFrame, first: str, last: str) -> DataFrame:
-    return readings.where(
+    """Readings of a range of dates; with a year column only those partitions are read."""
+    found = readings.where(
         F.col("JULD_DATE").between(F.lit(first).cast("date"), F.lit(last).cast("date"))
     )
+    year = find_column(readings.columns, "year")
+    return found if year is None else found.where(F.col(year).between(int(first[:4]), int(last[:4])))
 
 
 def readings_of_parameter(readings: DataFrame, parameter: str) -> DataFrame:
@@ -251,14 +266,11 @@ def floats_with_column(metadata: DataFrame, column: str) -> DataFrame:
     return metadata.where(F.array_contains("all_columns", column))
 
 
-def delete_floats(
-    readings: DataFrame, metadata: DataFrame, deleted: DataFrame, order: list[str],
-    hot_rows: int = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """(readings, metadata) without the deleted floats and everything read from them."""
-    gone = deleted.select("float_id")
-    left = attach_flag(readings, gone, ["float_id"], "_gone", order, hot_rows)
-    return (
-        left.where(~F.col("_gone")).drop("_gone"),
-        metadata.join(gone.distinct(), "float_id", "left_anti"),
-    )
+def delete_floats(readings: DataFrame, metadata: DataFrame, deleted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(readings, metadata) without the deleted floats and everything read from them.
+
+    One anti-join each; readings without a float stay.
+    """
+    gone = deleted.select("float_id").distinct()
+    left = readings.join(gone, "float_id", "left_anti").select(*readings.columns)
+    return left, metadata.join(gone, "float_id", "left_anti").select(*metadata.columns)

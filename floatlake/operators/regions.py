@@ -93,11 +93,12 @@ def assign_boxes(
 ) -> DataFrame:
     """First matching box of a box table for every point, by an equi-join on cells.
 
-    Boxes are spread over one-degree cells and meet only the points of their cells.
-    While the cell-box pairs stay under ``max_broadcast_pairs`` (counted here) they are
-    broadcast as one array per cell and the points do not move. Beyond that both sides
-    are shuffled; a cell with many points is cut into as many slices as its count asks
-    for, and ``id_columns`` must identify a point. Longitudes lie within +-180.
+    Boxes are spread over one-degree cells and meet only the points of their cells, as one
+    array per cell. While the cell-box pairs stay under ``max_broadcast_pairs`` (counted
+    here) the arrays are broadcast and the points do not move. Beyond that both sides are
+    shuffled; a cell with many points is cut into as many slices as its count asks for, and
+    each slice gets the array. Every point stays a row of its own in both forms, whatever
+    its ``id_columns`` hold. Longitudes lie within +-180 where a box crosses the meridian.
     """
     boxes = _unwrapped(boxes)
     cells = _cells(boxes)
@@ -116,49 +117,40 @@ def assign_boxes(
         bounds = (box(c) for c in ("min_lat", "max_lat", "min_lon", "max_lon"))
         return in_box(F.col(lat), F.col(lon), *bounds, mode=mode)
 
-    if pairs <= max_broadcast_pairs:
-        lists = cells.groupBy("_clat", "_clon").agg(
-            F.sort_array(
-                F.collect_list(F.struct("prio", "name", "min_lat", "max_lat", "min_lon", "max_lon"))
-            ).alias("_boxes")
-        )
-        hits = F.filter("_boxes", lambda box: inside(lambda c: box[c]))
-        name = F.get(hits, F.lit(0))["name"]
-        return located.join(F.broadcast(lists), ["_clat", "_clon"], "left").select(
-            *points.columns, F.coalesce(name, F.lit(unknown)).alias(label)
-        )
-    joined = _shuffled_cells(located, cells, id_columns, points_per_task)
-    # All candidates of a point meet in one task, so the partial aggregation already
-    # leaves one row per point before the exchange.
-    best = F.min(F.when(inside(F.col), F.struct("prio", "name")))
-    kept = [c for c in points.columns if c not in id_columns]
-    return (
-        joined.groupBy(*id_columns)
-        .agg(*[F.any_value(c).alias(c) for c in kept], best.alias("_best"))
-        .select(*points.columns, F.coalesce("_best.name", F.lit(unknown)).alias(label))
+    lists = cells.groupBy("_clat", "_clon").agg(
+        F.sort_array(
+            F.collect_list(F.struct("prio", "name", "min_lat", "max_lat", "min_lon", "max_lon"))
+        ).alias("_boxes")
     )
+    if pairs <= max_broadcast_pairs:
+        joined = located.join(F.broadcast(lists), ["_clat", "_clon"], "left")
+    else:
+        joined = _shuffled_cells(located, lists, points_per_task)
+    hits = F.filter("_boxes", lambda box: inside(lambda c: box[c]))
+    name = F.get(hits, F.lit(0))["name"]
+    return joined.select(*points.columns, F.coalesce(name, F.lit(unknown)).alias(label))
 
 
-def _shuffled_cells(
-    located: DataFrame, cells: DataFrame, id_columns: list[str], points_per_task: int
-) -> DataFrame:
+def _shuffled_cells(located: DataFrame, lists: DataFrame, points_per_task: int) -> DataFrame:
     cell = ["_clat", "_clon"]
-    # At most 181 x 361 such cells exist, so this table is always small.
+    # At most points / points_per_task cells are cut, so this table is always small.
     slices = (
-        located.where(F.col("_clat").between(-90, 90) & F.col("_clon").between(-180, 180))
-        .groupBy(*cell)
-        .agg(F.ceil(F.count(F.lit(1)) / points_per_task).cast("int").alias("_slices"))
+        located.where("_clat IS NOT NULL AND _clon IS NOT NULL").groupBy(*cell)
+        .agg(F.ceil(F.count(F.lit(1)) / points_per_task).cast("bigint").alias("_slices"))
+        .where("_slices > 1")
     )
-    many = F.coalesce("_slices", F.lit(1))
-    cut = located.join(F.broadcast(slices), cell, "left").withColumn(
+    # The place of a row in its partition is the same whenever a task is run again.
+    place = F.monotonically_increasing_id()
+    placed = located.withColumn("_place", F.pmod(place, F.lit(1 << 20)))
+    cut = placed.join(F.broadcast(slices), cell, "left").withColumn(
         "_slice",
         # Points without a cell match nothing; they are spread over all tasks.
-        F.when(F.col("_slices").isNull(), -1 - F.pmod(F.xxhash64(*id_columns), F.lit(4096)))
-        .otherwise(F.pmod(F.xxhash64(*id_columns), many.cast("bigint"))),
-    ).drop("_slices")
+        F.when(F.col("_clat").isNull() | F.col("_clon").isNull(), -1 - F.pmod("_place", F.lit(4096)))
+        .otherwise(F.pmod("_place", F.coalesce("_slices", F.lit(1)))),
+    ).drop("_slices", "_place")
     copies = (
-        cells.join(F.broadcast(slices), cell)
-        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slices").cast("bigint") - 1)))
+        lists.join(F.broadcast(slices), cell, "left")
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_slices", F.lit(1).cast("bigint")) - 1)))
         .drop("_slices")
     )
     return cut.join(copies, [*cell, "_slice"], "left")

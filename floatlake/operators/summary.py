@@ -114,8 +114,12 @@ def infer_column_kinds(df: DataFrame, columns: list[str]) -> dict[str, str]:
     return kinds
 
 
-def column_rules(df: DataFrame, keys: list[str], infer: bool = True) -> dict[str, str]:
-    """Rule per non-key column: identifiers first, numbers mean, text by content."""
+def column_rules(df: DataFrame, keys: list[str], infer: bool = False) -> dict[str, str]:
+    """Rule per non-key column: identifiers first, numbers mean, text both.
+
+    Rules come from names and types, so the summaries of all runs have one schema. Only
+    with ``infer`` is the content of text columns looked at (one scan).
+    """
     rules, open_columns = {}, []
     for name, dtype in df.dtypes:
         if name in keys:
@@ -126,21 +130,26 @@ def column_rules(df: DataFrame, keys: list[str], infer: bool = True) -> dict[str
             rules[name] = "mean"
         elif dtype == "string" and infer:
             open_columns.append(name)
+        elif dtype == "string":
+            rules[name] = "both"
         else:
             rules[name] = "first"
     rules.update(infer_column_kinds(df, open_columns))
     return rules
 
 
-def _bgc_value(states: States, name: str, dtype: str, rule: str) -> Column:
+def _bgc_value(states: States, name: str, dtype: str, rule: str) -> dict[str, Column]:
+    """Output columns of one input column."""
     value = clean_bytes(name) if dtype == "string" else F.col(name)
     if rule == "first":
-        return states.first(name, value)
+        return {name: states.first(name, value)}
     number = to_number(value) if dtype == "string" else value
     mean = states.mean(name, number)
     if rule == "mean":
-        return mean
-    return F.coalesce(mean.cast("string"), states.first(name, value))
+        return {name: mean}
+    if rule == "both":
+        return {name: states.first(name, value), f"{name}_mean": mean}
+    return {name: F.coalesce(mean.cast("string"), states.first(name, value))}
 
 
 def _bgc_keys(names: list[str], pres: str | None) -> tuple[list[str], bool]:
@@ -187,8 +196,9 @@ def summarize_bgc(
 
     ``order`` are the columns giving the row order inside a profile; one whole number
     is the fastest. ``partition_columns`` (such as the file) are extra keys. ``rules``
-    maps a column to "mean", "first" or "mixed"; when left out, text columns are looked
-    at once (one extra scan). ``columns`` limits which other columns are summarised.
+    maps a column to "mean", "first", "mixed" or "both"; when left out, names and types
+    decide (column_rules): a text column X then gives its first text as X and the mean of
+    its numbers as X_mean. ``columns`` limits which other columns are summarised.
     Every column keeps its own name. The position used for the labels is the first
     latitude and the first longitude, also given as first_LATITUDE / first_LONGITUDE.
     """
@@ -229,8 +239,10 @@ def summarize_bgc(
     else:
         first_lat = first_lon = F.lit(None).cast("double")
     out += [first_lat.alias("first_LATITUDE"), first_lon.alias("first_LONGITUDE")]
+    values: dict[str, Column] = {}
     for name in others:
-        out.append(_bgc_value(states, name, types[name], rules.get(name, "first")).alias(name))
+        values.update(_bgc_value(states, name, types[name], rules.get(name, "first")))
+    out += [value.alias(name) for name, value in values.items()]
     # The labels are set after the aggregation: once per profile, not once per level.
     summary = states.per_group(rows, row_keys).select(*out).withColumns({
         "avg_REGION": assign_region("first_LATITUDE", "first_LONGITUDE", "closed"),
@@ -244,7 +256,7 @@ def summarize_bgc(
         layered = summary.join(layers, row_keys, "left")
     measures = ["surface_temp_C", "mixed_layer_depth_m", "min_DEPTH_m", "max_DEPTH_m",
                 "avg_DEPTH_m", "avg_REGION", "ocean", "first_LATITUDE", "first_LONGITUDE"]
-    return layered.select(*keys, *measures, *others)
+    return layered.select(*keys, *measures, *values)
 
 
 def _core_value(states: States, name: str, dtype: str) -> dict[str, Column]:
