@@ -26,6 +26,11 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_extendedprice,
        l_quantity AS juld_location_min
 FROM lineitem
 """
+# Text with numbers and words in one column.
+MIXED_LEVELS = f"""
+SELECT *, CASE WHEN l_linenumber % 3 = 0 THEN 'low' ELSE concat(' ', CAST(l_linenumber AS STRING)) END AS flag
+FROM ({LEVELS}) levels
+"""
 LEVEL_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
 PROFILE_KEYS = ["platform_number", "float_serial_no", "cycle_number", "juld"]
 
@@ -36,6 +41,10 @@ SELECT c_custkey AS pid,
             ELSE CAST((c_custkey * 91) % 721 AS DOUBLE) / 2 - 180 END AS lon
 FROM customer
 """
+# Identifiers that repeat or are missing; rid tells the rows apart.
+POINTS_REPEATED = f"""
+SELECT pid AS rid, CASE WHEN pid % 5 = 0 THEN NULL ELSE pid % 7 END AS pid, lat, lon FROM ({POINTS}) points
+"""
 
 INDEX_LINES = """
 SELECT c_custkey AS line_no,
@@ -48,7 +57,7 @@ SELECT c_custkey AS line_no,
               THEN concat('x/SBDD', CAST(c_custkey % 300 AS STRING), '_1.nc')
               ELSE concat('aoml/', CAST(1900000 + c_custkey % 300 AS STRING), '/profiles/BD',
                 CAST(1900000 + c_custkey % 300 AS STRING), '_', lpad(CAST(c_custkey % 40 AS STRING), 3, '0'), '.nc') END,
-         concat('2024', lpad(CAST(c_custkey % 12 + 1 AS STRING), 2, '0'), lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0'), '120000'),
+         concat('2024', lpad(CAST(CAST((c_custkey % 300 + floor((c_custkey % 300) / 12) + 7 * (floor(c_custkey / 300) % 2)) AS BIGINT) % 12 + 1 AS STRING), 2, '0'), lpad(CAST(c_custkey % 28 + 1 AS STRING), 2, '0'), '120000'),
          CASE WHEN c_custkey % 50 = 13 THEN 'bad' ELSE CAST((c_custkey * 37) % 90 - 60 AS STRING) END,
          CASE WHEN c_custkey % 50 = 14 THEN '1d' ELSE CAST((c_custkey * 91) % 130 + 20 AS STRING) END,
          CASE WHEN c_custkey % 3 = 0 THEN 'I' WHEN c_custkey % 3 = 1 THEN 'P' ELSE 'A' END,

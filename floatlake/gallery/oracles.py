@@ -146,13 +146,14 @@ g AS (SELECT {keys}, any_value(n_levels) AS n_levels,
   avg(pres) AS pres, avg(temp) AS temp, round(avg(psal), 9) AS psal, round(avg(pres_error), 9) AS pres_error,
   avg(latitude) AS latitude, avg(longitude) AS longitude,
   arg_min({centre}, {_ORDER}) FILTER (WHERE data_centre IS NOT NULL) AS data_centre,
-  avg(TRY_CAST({_BARE.format('pres_qc')} AS DOUBLE)) AS pres_qc, {_first('date_update')} AS date_update,
+  arg_min({_BARE.format('pres_qc')}, {_ORDER}) FILTER (WHERE pres_qc IS NOT NULL) AS pres_qc,
+  avg(TRY_CAST({_BARE.format('pres_qc')} AS DOUBLE)) AS pres_qc_mean, {_first('date_update')} AS date_update,
   avg(history_start_pres) AS history_start_pres, avg(juld_location_min) AS juld_location_min
   FROM counted GROUP BY {keys}), {_regions('closed', 'g', keys)}
 SELECT platform_number, float_serial_no, cycle_number, n_levels, {_DAY}, surface_temp_c, mixed_layer_depth_m,
   min_depth_m, max_depth_m, avg_depth_m, region AS avg_region, {_OCEAN_BOXES} AS ocean,
   lat AS first_latitude, lon AS first_longitude, pres, temp, psal, pres_error, latitude, longitude,
-  data_centre, pres_qc, date_update, history_start_pres, juld_location_min
+  data_centre, pres_qc, pres_qc_mean, date_update, history_start_pres, juld_location_min
 FROM g LEFT JOIN layer USING ({keys}) JOIN tagged USING ({keys})"""
 
 
@@ -284,10 +285,17 @@ def oracles() -> dict[str, str]:
         "summary_core": _summary_core(),
         "summary_core_tagged": _summary_core_tagged(),
         "summary_bgc": _summary_bgc(),
+        "summary_bgc_mixed": f"""WITH levels AS ({A.MIXED_LEVELS})
+SELECT {_KEYS.replace('juld', "strftime(juld, '%Y-%m-%d') AS juld")}, arg_min(trim(flag), {_ORDER}) AS flag,
+  avg(TRY_CAST(trim(flag) AS DOUBLE)) AS flag_mean FROM levels
+WHERE platform_number IS NOT NULL AND float_serial_no IS NOT NULL AND cycle_number IS NOT NULL AND juld IS NOT NULL
+GROUP BY {_KEYS}""",
         "region_closed": _region("closed"),
         "region_open": _region("open"),
         "region_grid": _region("closed"),
         "region_grid_shuffled": _region("closed"),
+        "region_grid_duplicates": f"""WITH p AS ({A.POINTS_REPEATED}), {_regions('closed', 'p', 'rid')}
+SELECT form, pid, lat, lon, region FROM p JOIN tagged USING (rid), (VALUES ('broadcast'), ('shuffled')) forms(form)""",
         "ocean_boxes": _ocean(_OCEAN_BOXES),
         "ocean_chain": _ocean(_OCEAN_CHAIN),
         "region_share": f"WITH p AS ({A.POINTS}), {_regions('open', 'p', 'pid')} {_share('tagged', 'region')}",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from floatlake import functions as fl
@@ -18,16 +20,21 @@ TABLES = [
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    # All times of the data are UTC, whatever session the caller brings.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A test table. Its times are UTC, whatever zone the caller's session has."""
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    utc = {
+        c: F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col(c).cast("timestamp_ntz"))
+        for c, kind in df.dtypes if kind == "timestamp"
+    }
+    return df.withColumns(utc) if utc else df
 
 
 def adapted(spark: SparkSession, sf: str, sql: str) -> DataFrame:
-    for name in TABLES:
-        if f"FROM {name}" in sql:
-            table(spark, sf, name).createOrReplaceTempView(name)
-    return spark.sql(sql)
+    """The SQL over test tables, without a view in the caller's session."""
+    used = [name for name in TABLES if re.search(rf"FROM {name}\b", sql)]
+    for name in used:
+        sql = re.sub(rf"FROM {name}\b", f"FROM {{{name}}}", sql)
+    return spark.sql(sql, **{name: table(spark, sf, name) for name in used})
 
 
 def lower(df: DataFrame) -> DataFrame:
@@ -111,12 +118,16 @@ def summary_core_tagged(spark, sf):
 
 
 def summary_bgc(spark, sf):
-    rules = {c: "mean" for c in SUMMARY_COLUMNS}
-    rules.update(data_centre="first", date_update="first")
-    out = summary.summarize_bgc(levels(spark, sf), A.LEVEL_ORDER, rules, SUMMARY_COLUMNS)
+    out = summary.summarize_bgc(levels(spark, sf), A.LEVEL_ORDER, columns=SUMMARY_COLUMNS)
     return _with_juld(out).withColumns({c: F.round(c, 9) for c in ("psal", "pres_error")})
 
 
+def summary_bgc_mixed(spark, sf):
+    rows = adapted(spark, sf, A.MIXED_LEVELS)
+    out = summary.summarize_bgc(rows, A.LEVEL_ORDER, columns=["flag"])
+    return _with_juld(out).select("platform_number", "float_serial_no", "cycle_number", "juld", "flag", "flag_mean")
+
+
 # --- regions --------------------------------------------------------------------
 
 def points(spark, sf):
@@ -138,6 +149,16 @@ def _region_grid(pairs):
     return query
 
 
+def region_grid_duplicates(spark, sf):
+    rows, boxes = adapted(spark, sf, A.POINTS_REPEATED), regions.region_boxes(spark)
+    forms = [
+        regions.assign_boxes(rows, boxes, ["pid"], max_broadcast_pairs=pairs, points_per_task=20)
+        .select(F.lit(form).alias("form"), "pid", "lat", "lon", "region")
+        for form, pairs in (("broadcast", 1_000_000), ("shuffled", 0))
+    ]
+    return forms[0].unionByName(forms[1])
+
+
 def _ocean(mode):
     def query(spark, sf):
         return points(spark, sf).select("pid", fl.assign_ocean("lat", "lon", mode).alias("ocean"))
@@ -434,14 +455,14 @@ def quality_violations(spark, sf):
 
 
 def orphan_readings(spark, sf):
-    out = quality.orphan_readings(reading_rows(spark, sf), metadata_rows(spark, sf), ["event_id"])
+    out = quality.orphan_readings(reading_rows(spark, sf), metadata_rows(spark, sf))
     return out.select("event_id", "float_id")
 
 
 def cascade_delete(spark, sf):
     rows, metadata = reading_rows(spark, sf), metadata_rows(spark, sf)
     deleted = metadata.where("float_type = 'OTHER'")
-    left, floats = readings.delete_floats(rows, metadata, deleted, ["event_id"])
+    left, floats = readings.delete_floats(rows, metadata, deleted)
     return left.select(F.lit("reading").alias("kind"), F.col("event_id").cast("string").alias("key")).unionByName(
         floats.select(F.lit("float").alias("kind"), F.col("float_id").alias("key"))
     )
@@ -484,10 +505,12 @@ QUERIES = {
     "summary_core": summary_core,
     "summary_core_tagged": summary_core_tagged,
     "summary_bgc": summary_bgc,
+    "summary_bgc_mixed": summary_bgc_mixed,
     "region_closed": _region("closed"),
     "region_open": _region("open"),
     "region_grid": _region_grid(1_000_000),
     "region_grid_shuffled": _region_grid(0),
+    "region_grid_duplicates": region_grid_duplicates,
     "ocean_boxes": _ocean("boxes"),
     "ocean_chain": _ocean("chain"),
     "region_share": region_share,

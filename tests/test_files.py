@@ -217,7 +217,9 @@ def test_bgc_flow(spark, tmp_path):
     assert [r[0] for r in spark.read.parquet(written["platforms"]).collect()] == ["1900722"]
     row = spark.read.parquet(written["summary"]).first()
     assert (row.JULD, row.n_levels, row.mixed_layer_depth_m) == (dt.date(2025, 4, 17), 4, 30.0)
-    assert (row.PRES_QC, row.PARAMETER_DATA_MODE, row.DATA_CENTRE, row.ocean) == (1.5, "R", "IF", "Indian Ocean")
+    assert (row.PRES_QC, row.PRES_QC_mean, row.PARAMETER_DATA_MODE, row.DATA_CENTRE, row.ocean) == ("1", 1.5, "R", "IF", "Indian Ocean")
+    counters = spark.read.parquet(written["counters"]).first()
+    assert (counters.rows, counters.errors) == (4, 0) and counters.files >= 1
     assert flows.run_bgc(spark, out, 2, index, str(tmp_path / "profiles"), 2025, [8], steps=("levels", "summary")) == {}
     with pytest.raises(ValueError):
         read_profiles(spark, str(tmp_path), "json")
@@ -233,7 +235,7 @@ def test_stream_loads_each_file_once(spark, tree, tmp_path):
     put(tmp_path / "in" / "BCG floats" / "300_Sprof.csv", "PLATFORM_NUMBER,PRES\n300,1\n")
     start_load_stream(spark, tree, out, check).awaitTermination()
     assert spark.read.parquet(f"{out}/readings").count() == n + 2
-    latest = increments.read_manifest(spark, f"{out}/manifest").agg(F.max("run_id")).first()[0]
+    latest = increments.previous_run(spark, f"{out}/manifest")
     floats = spark.read.parquet(f"{out}/metadata/run_id={latest}")
     assert {r.float_id for r in floats.collect()} == {"100", "200", "201", "300"}
 
@@ -272,3 +274,158 @@ def test_tagging_goes_to_a_new_table(spark, tmp_path):
     assert flows.tag_summaries(spark, source_path, target)
     assert spark.read.parquet(target).first().avg_REGION == "Arabian Sea"
     assert not flows.tag_summaries(spark, target, source_path)
+
+
+CORE_HEADER = "PLATFORM_NUMBER,CYCLE_NUMBER,JULD,LATITUDE,LONGITUDE,PRES,TEMP,NITRATE_ADJUSTED_ERROR\n"
+
+
+def core_file(root, name, platform="1"):
+    return put(root / "2025" / "August" / name, CORE_HEADER + "".join(
+        f"{platform},1,2025-08-01 06:00:00,15,65,{p},28,{p}\n" for p in (5, 15, 25)))
+
+
+def cut_short(monkeypatch, run, *args):
+    """Run a flow that dies just before it is recorded."""
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(flows, "finish_run", lost)
+        with pytest.raises(RuntimeError):
+            run(*args)
+
+
+def test_cut_short_core_run_is_not_counted_twice(spark, tmp_path, monkeypatch):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    core_file(root, "20250801_prof.csv")
+    cut_short(monkeypatch, flows.run_core, spark, out, 1, str(root))
+    flows.run_core(spark, out, 2, str(root))
+    row = spark.read.parquet(f"{out}/summary").first()
+    assert (row.n_levels, row.row_count) == (3, 3)
+    assert (row.NITRATE_ADJUSTED_ERROR_min, row.NITRATE_ADJUSTED_ERROR_max, row.NITRATE_ADJUSTED_ERROR_mean) == (5.0, 25.0, 15.0)
+
+
+def test_repeated_core_run_leaves_nothing_stale(spark, tmp_path, monkeypatch):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    core_file(root, "20250801_prof.csv")
+    other = put(root / "2024" / "July" / "20240701_prof.csv", CORE_HEADER + "7,1,2024-07-01,15,65,5,28,2\n")
+    cut_short(monkeypatch, flows.run_core, spark, out, 1, str(root))
+    import os
+
+    os.remove(other)
+    flows.run_core(spark, out, 1, str(root))
+    assert {r.PLATFORM_NUMBER for r in increments.read_finished(spark, f"{out}/levels", f"{out}/manifest").collect()} == {"1"}
+
+
+def test_repeated_load_leaves_nothing_stale(spark, tmp_path, monkeypatch):
+    import os
+
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    old = put(root / "1_Sprof.csv", "PRES,JULD\n1,2024-01-01 10:00:00\n")
+    put(root / "2_Sprof.csv", "PRES,JULD\n2,2025-01-01 10:00:00\n")
+    cut_short(monkeypatch, flows.run_load, spark, str(root), out, 1)
+    os.remove(old)
+    flows.run_load(spark, str(root), out, 1)
+    found = increments.read_finished(spark, f"{out}/readings", f"{out}/manifest")
+    assert {r.float_id for r in found.collect()} == {"2"}
+
+
+def test_two_streams_and_a_batch_share_an_output(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name in ("a", "b"):
+        put(tmp_path / name / f"{name}_Sprof.csv", "PRES\n1\n2\n")
+        start_load_stream(spark, str(tmp_path / name), out, str(tmp_path / f"check-{name}")).awaitTermination()
+    found = increments.read_finished(spark, f"{out}/readings", f"{out}/manifest")
+    assert {r.float_id for r in found.collect()} == {"a", "b"} and found.count() == 4
+    # A new checkpoint, and a batch run, find nothing left to do.
+    start_load_stream(spark, str(tmp_path / "a"), out, str(tmp_path / "check-new")).awaitTermination()
+    assert flows.run_load(spark, [str(tmp_path / "a"), str(tmp_path / "b")], out, 1) == {}
+    put(tmp_path / "a" / "c_Sprof.csv", "PRES\n3\n")
+    assert flows.run_load(spark, str(tmp_path / "a"), out, 2)
+    start_load_stream(spark, str(tmp_path / "a"), out, str(tmp_path / "check-a")).awaitTermination()
+    assert increments.read_finished(spark, f"{out}/readings", f"{out}/manifest").count() == 5
+    assert spark.read.parquet(f"{out}/metadata/run_id=2").count() == 3
+
+
+def test_core_rejects_are_listed_and_not_recorded(spark, tmp_path):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    core_file(root, "20250801_prof.csv")
+    put(root / "20250802_prof.csv", CORE_HEADER + "8,1,2025-08-01,15,65,5,28,2\n")
+    put(root / "2025" / "Augustus" / "20250803_prof.csv", CORE_HEADER + "9,1,2025-08-01,15,65,5,28,2\n")
+    written = flows.run_core(spark, out, 1, str(root))
+    reasons = {r.path.split("/")[-1]: r.reason for r in spark.read.parquet(written["rejects"]).collect()}
+    assert reasons == {"20250802_prof.csv": "not below a <year>/<month>/ folder", "20250803_prof.csv": "month folder is not known"}
+    assert increments.read_manifest(spark, f"{out}/manifest").count() == 1
+    counters = spark.read.parquet(written["counters"]).first()
+    assert (counters.files, counters.rows, counters.errors) == (1, 3, 2)
+
+
+def test_load_counters(spark, tree, tmp_path):
+    written = flows.run_load(spark, tree, str(tmp_path / "out"), 1)
+    row = spark.read.parquet(written["counters"]).first()
+    assert (row.files, row.rows, row.errors, row.bgc_readings, row.core_readings) == (3, 5, 0, 9, 11)
+    assert row.average_columns >= 4
+
+
+def test_pattern_characters_in_names(spark, tmp_path):
+    root = tmp_path / "in [1]"
+    for name in ("a[1]_Sprof.csv", "b{x}_Sprof.csv", "c_Sprof.csv"):
+        put(root / name, "PRES,pres\n1,2\n")
+    df = source.read_mixed_csv(spark, source.escaped(str(root)))
+    assert {r.filename for r in df.collect()} == {"a[1]_Sprof.csv", "b{x}_Sprof.csv", "c_Sprof.csv"}
+    assert df.columns[:2] == ["PRES", "pres_2"] and df.first().pres_2 == "2"
+
+
+def test_header_pass_keeps_first_blocks_only(spark, tmp_path):
+    put(tmp_path / "a.csv", "n\n" + "\n".join(str(i) for i in range(5000)) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    try:
+        lines = source.with_row_order(spark.read.text(str(tmp_path)).where(F.col("_metadata.file_block_start") == 0))
+        assert 0 < lines.count() < 2500
+        assert source.headers_of(spark, str(tmp_path))[0][0] == "n"
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_summary_schema_does_not_depend_on_content(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for run, flag in ((1, "5"), (2, "good")):
+        profiles = spark.createDataFrame(
+            [(f"f{run}", 0, "1", 1, 27500.25, [5.0, 10.0], [28.0, 28.2], [flag, flag])],
+            "file string, prof_idx int, PLATFORM_NUMBER string, CYCLE_NUMBER bigint, JULD double, PRES array<double>, "
+            "TEMP array<double>, FLAG array<string>")
+        profiles.write.mode("append").parquet(str(tmp_path / "profiles"))
+        flows.run_bgc(spark, out, run, profiles=str(tmp_path / "profiles"), steps=("levels", "summary"))
+    rows = {r.file: (r.FLAG, r.FLAG_mean) for r in spark.read.parquet(f"{out}/summary").collect()}
+    assert rows == {"f1": ("5", 5.0), "f2": ("good", None)}
+
+
+def test_bad_bytes_become_text(spark):
+    from floatlake.functions.text import join_chars
+    from floatlake.operators.flatten import flatten_profiles
+
+    df = spark.createDataFrame([("f", 0, bytearray(b"a\xffb"), [1.0])], "file string, prof_idx int, NAME binary, PRES array<double>")
+    assert flatten_profiles(df, ["file", "prof_idx"]).first().NAME == "ab"
+    chars = spark.createDataFrame([([bytearray(b"A"), bytearray(b"\xff"), bytearray(b"B ")],)], "c array<binary>")
+    assert chars.select(join_chars("c", True)).first()[0] == "AB"
+
+
+def test_date_range_reads_its_years_only(spark, tree, tmp_path):
+    from floatlake.operators.readings import readings_between
+
+    written = flows.run_load(spark, tree, str(tmp_path / "out"), 1)
+    found = readings_between(spark.read.parquet(written["readings"]), "2025-04-01", "2025-04-30")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "year" in filters and found.count() == 9
+
+
+def test_cleaned_tree(spark, tree, tmp_path):
+    out = flows.run_clean(spark, tree, str(tmp_path / "clean"))
+    files = [p for p in (tmp_path / "clean").rglob("*.csv") if p.is_file()]
+    assert len(files) == 3
+    heads = {p.parent.name.split("=")[-1]: p.read_text().splitlines()[0].split(",") for p in files}
+    assert "EMPTY" not in heads["100_Sprof.csv"] and "JULD_DATE" in heads["100_Sprof.csv"]
+    assert "PROJECT_NAME" not in heads["20250801_prof.csv"]
+    assert spark.read.option("header", "true").csv(out).count() == 5

@@ -21,7 +21,7 @@ def final_plan(df) -> str:
     return plan(df).split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(Q.QUERIES))
 def test_no_python_and_no_cross_product(spark, name):
     text = plan(entry.queries()[name](spark, SF))
     for word in ("Python", "Pandas", "CartesianProduct", "NestedLoop"):

@@ -135,9 +135,9 @@ def test_mixed_rules(spark):
     df = spark.createDataFrame(
         [(0, "1", "b'1'", "x", "3", "7"), (1, "1", "b'2'", "y", "z", None), (2, "2", "b'4'", "y", "q", None)],
         "n int, PLATFORM_NUMBER string, QC string, NOTE string, MIX string, WMO_INST_TYPE string")
-    rules = summary.column_rules(df, ["n", "PLATFORM_NUMBER"])
+    rules = summary.column_rules(df, ["n", "PLATFORM_NUMBER"], infer=True)
     assert rules == {"QC": "mean", "NOTE": "first", "MIX": "mixed", "WMO_INST_TYPE": "first"}
-    out = {r.PLATFORM_NUMBER: r for r in summary.summarize_bgc(df, ["n"]).collect()}
+    out = {r.PLATFORM_NUMBER: r for r in summary.summarize_bgc(df, ["n"], rules).collect()}
     assert (out["1"].QC, out["1"].NOTE, out["1"].MIX, out["1"].WMO_INST_TYPE) == (1.5, "x", "3.0", "7")
     assert out["2"].MIX == "q" and out["2"].ocean == "Unknown" and out["2"].mixed_layer_depth_m is None
 
