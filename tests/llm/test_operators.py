@@ -383,11 +383,15 @@ def test_page_blocks():
     assert html.page_blocks("") == [] and html.page_blocks("plain <b>text") == [("plain text", False)]
     assert html.page_blocks("<p>a</p><div class=ad>x") == [("a", False)]
     assert html.page_blocks("<div hidden>x</div><p>y <unfinished") == [("y", False)]
+    wrapped = '<div class="page with-sidebar"><article><p>a</p></article><div class="related"><article>b</article></div></div><div class="adBox">c</div>'
+    assert html.page_blocks(wrapped) == [("a", True)]
+    assert html.page_blocks('<main><p class="cookieNote">x<p>y<div id="postComments"><article>z</article></div></main>') == [("y", True)]
 
 
 def test_boilerplate_goes_by_host(spark):
     notice = "this site uses small files to remember what you like please agree"
     pages = [(i, f"http://h.org/{i}", f"<div>{notice}</div><div>{' '.join(f'u{i}x{k}' for k in range(20))}</div>") for i in range(30)]
+    pages += [(2**60 + 1, "http://big.org/", "<p>one page</p>")]
     pages += [(100 + i, f"http://other{i}.org/", f"<p>{notice}</p>") for i in range(3)] + [(200, None, None), (201, "x", ""), (200, None, None)]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").withColumn("host", F.lit(1))
     found = {}
@@ -395,6 +399,7 @@ def test_boilerplate_goes_by_host(spark):
         found.setdefault(r.page_id, " ".join(r.blocks))
     assert all(found[i] == " ".join(f"u{i}x{k}" for k in range(20)) for i in range(30))
     assert all(found[100 + i] == notice for i in range(3)) and found[200] == found[201] == ""
+    assert found[2**60 + 1] == "one page"
     assert html.main_texts(df).count() == len(pages) and html.main_texts(df.limit(0)).count() == 0
 
 
