@@ -336,7 +336,8 @@ FROM (SELECT *, o_orderkey % 10 <> 0 AS dated FROM orders)""",
         "month_routing": "SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'rejected' ELSE strftime(o_orderdate, '%Y/%B') END AS target, count(*) AS n FROM orders GROUP BY 1",
         "drop_null_columns": f"WITH {_DIRTY} SELECT rn, filename, path, project_name, juld, date_update, cycle_number FROM d",
         "clean_table": f"WITH {_cleaned(A.DIRTY, 'c')} SELECT rn, filename, path, project_name, date_update, cycle_number, jd AS \"juld_DATE\", jt AS \"juld_TIME\" FROM c",
-        "mixed_union": f"SELECT rn, project_name, CAST(NULL AS VARCHAR) AS line FROM ({A.DIRTY}) UNION ALL SELECT line_no, NULL, line FROM ({A.INDEX_LINES})",
+        "mixed_union": f"""SELECT rn, project_name, CAST(cycle_number AS BIGINT) AS cycle_number, CAST(NULL AS VARCHAR) AS line, CAST(NULL AS DOUBLE) AS temp_error, filename FROM ({A.DIRTY})
+UNION ALL SELECT line_no, NULL, NULL, line, CAST(line_no AS DOUBLE) + 0.5, 'x.txt' FROM ({A.INDEX_LINES})""",
         "readings_unpivot": f"""WITH {_cleaned(A.DIRTY, 'c')},
 w AS (SELECT *, strftime({_read_date('jd')}, '%Y-%m-%d') AS juld_date, substr(jt, 1, 8) AS juld_time FROM c),
 u AS (SELECT float_id, juld_date, juld_time, 'project_name' AS parameter_name, trim(project_name) AS value FROM w

@@ -12,6 +12,7 @@ from floatlake.operators import (
     cleaning, flatten, index, profile, quality, readings, regions, summary,
 )
 from floatlake.plans import flows, increments
+from floatlake.sources import csv
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -350,9 +351,13 @@ def clean_table(spark, sf):
 
 
 def mixed_union(spark, sf):
-    left = dirty(spark, sf).select("rn", "project_name")
-    right = index_lines(spark, sf).select(F.col("line_no").alias("rn"), "line")
-    return left.unionByName(right, allowMissingColumns=True)
+    """Two header shapes through the reader's own union and typing."""
+    left = dirty(spark, sf).select("filename", "rn", "project_name", F.col("cycle_number").alias("CYCLE_NUMBER"))
+    right = index_lines(spark, sf).select(
+        F.col("line_no").alias("rn"), "line", F.concat("line_no", F.lit(".5")).alias("TEMP_ERROR"), F.lit("x.txt").alias("filename")
+    )
+    out = csv.type_levels(csv.union_shapes([left, right]))
+    return lower(out)
 
 
 # --- readings and metadata ------------------------------------------------------

@@ -7,6 +7,8 @@ column between first value, range and mean, and groups by level count and date.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from floatlake.catalog import (
@@ -307,6 +309,7 @@ def summarize_core(
     partition_columns: list[str] | None = None,
     threshold: float = MIXED_LAYER_THRESHOLD,
     hot_rows: int = HOT_ROWS,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Summary of core profiles.
 
@@ -317,7 +320,9 @@ def summarize_core(
 
     ``default_date`` dates the rows when the input has no JULD column.
     ``partition_columns`` (such as year and month) are extra keys: each partition is
-    summarised by itself.
+    summarised by itself. ``keep`` writes the profile states (one row per profile) and
+    reads them back: summary and mixed layer then share them, and the levels are read
+    twice instead of three times.
     """
     names = df.columns
     pres, temp = find_column(names, "PRES"), find_column(names, "TEMP")
@@ -360,10 +365,12 @@ def summarize_core(
     values.update({"min_DEPTH_m": low, "max_DEPTH_m": high, "avg_DEPTH_m": mean})
     for name in others:
         values.update(_core_value(states, name, types[name]))
+    reference = None if pres is None or temp is None else reference_state(states, p, t, "core")
     if counted:
         # The level count is a key of the merge, so it is kept beside the states.
         count = F.count_if(valid_pressure(p)).alias("n_levels")
         profiles = states.per_group(rows, fine_keys, count)
+        profiles = profiles if keep is None else keep(profiles)
     else:
         profiles = states.per_group(rows, fine_keys)
     out_keys = [*extra, *keys]
@@ -377,7 +384,8 @@ def summarize_core(
         layered = summary.withColumn("mixed_layer_depth_m", F.lit(None).cast("double"))
     else:
         layers = _core_layers(
-            rows, fine_keys, out_keys, order, pres, temp, counted, threshold, hot_rows
+            rows, profiles, states, row_count, reference, fine_keys, out_keys, order, pres, temp,
+            counted, threshold, hot_rows,
         )
         layered = summary.join(layers, out_keys, "left")
     head = [*out_keys, *([] if counted else ["n_levels"]), "row_count",
@@ -386,28 +394,23 @@ def summarize_core(
 
 
 def _core_layers(
-    rows: DataFrame, fine_keys: list[str], out_keys: list[str], order: list[str],
-    pres: str, temp: str, counted: bool, threshold: float, hot_rows: int,
+    rows: DataFrame, profiles: DataFrame, states: States, size: Column, reference: Column,
+    fine_keys: list[str], out_keys: list[str], order: list[str], pres: str, temp: str,
+    counted: bool, threshold: float, hot_rows: int,
 ) -> DataFrame:
     levels = rows.select(*dict.fromkeys([*fine_keys, *order, pres, temp])).withColumns(
         {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
     )
-    p, t = F.col(pres), F.col(temp)
-    known = States(order)
-    size = known.count("rows")
-    reference = reference_state(known, p, t, "core")
-    count = F.count_if(valid_pressure(p)).alias("n_levels")
-    fine = known.per_group(levels, fine_keys, *([count] if counted else []))
     if counted:
-        groups = known.merged(fine, out_keys, F.count(F.lit(1)).alias("_profiles")).select(
+        groups = states.merged(profiles, out_keys, F.count(F.lit(1)).alias("_profiles")).select(
             *out_keys, "_profiles", reference.alias(REFERENCE)
         )
-        sizes = fine.select(*dict.fromkeys([*fine_keys, *out_keys]), size.alias(SIZE))
+        sizes = profiles.select(*dict.fromkeys([*fine_keys, *out_keys]), size.alias(SIZE))
         references = attach_groups(
             sizes, groups, out_keys, [REFERENCE], "_profiles", fine_keys, hot_rows
         )
     else:
-        references = fine.select(*fine_keys, size.alias(SIZE), reference.alias(REFERENCE))
+        references = profiles.select(*fine_keys, size.alias(SIZE), reference.alias(REFERENCE))
     return mixed_layer_by_group(
         levels, references, fine_keys, out_keys, order, pres, temp, "core", threshold, hot_rows
     )

@@ -63,10 +63,12 @@ def bgc_summary(levels: DataFrame, rules: dict[str, str] | None = None) -> DataF
     return summarize_bgc(rows, ["row_no"], rules, partition_columns=["file"])
 
 
-def core_summary(levels: DataFrame, order: list[str], default_date: str | None = None) -> DataFrame:
+def core_summary(
+    levels: DataFrame, order: list[str], default_date: str | None = None, keep=None
+) -> DataFrame:
     """Level rows with year and month to labelled monthly summaries."""
     summary = summarize_core(
-        prepare_core(levels), order, default_date=default_date, partition_columns=["year", "month"]
+        prepare_core(levels), order, default_date=default_date, partition_columns=["year", "month"], keep=keep
     )
     return add_region_columns(summary, "core")
 
@@ -178,7 +180,13 @@ def run_core(
         current = spark.range(1).select(F.lit(run_id).cast("bigint").alias("run_id"))
         runs = finished_runs(spark, f"{out}/manifest").unionByName(current)
         rows = table.join(runs, "run_id", "left_semi").drop("run_id", "filename")
-        summary = core_summary(rows, ROW_ORDER, default_date)
+
+        def keep(profiles: DataFrame) -> DataFrame:
+            path = _run_folder(out, "profiles", run_id)
+            profiles.write.mode("overwrite").parquet(path)
+            return spark.read.schema(profiles.schema).parquet(path)
+
+        summary = core_summary(rows, ROW_ORDER, default_date, keep)
         write_by_month(summary, f"{out}/summary", sort=core_grouping_columns(summary.columns))
         written["summary"] = f"{out}/summary"
     if "levels" in steps:

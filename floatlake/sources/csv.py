@@ -128,6 +128,15 @@ def _read_one_header(
                           columns.alias("_columns"))
 
 
+def union_shapes(parts: list[DataFrame]) -> DataFrame:
+    """Tables with different columns, united by name; the file columns come last."""
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part, allowMissingColumns=True)
+    tail = [c for c in FILE_COLUMNS if c in out.columns]
+    return out.select(*[c for c in out.columns if c not in tail], *tail)
+
+
 def read_mixed_csv(
     spark: SparkSession, paths: str | list[str], pattern: str = "*.csv",
     headers: list[tuple[str, list[str]]] | None = None, multi_line: bool = False,
@@ -143,12 +152,7 @@ def read_mixed_csv(
     groups = headers if headers is not None else headers_of(spark, paths, pattern)
     if not groups:
         raise ValueError(f"no CSV files with a header under {paths}")
-    out = None
-    for header, files in groups:
-        part = _read_one_header(spark, header, files, multi_line)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    tail = [c for c in FILE_COLUMNS if c in out.columns]
-    return out.select(*[c for c in out.columns if c not in tail], *tail)
+    return union_shapes([_read_one_header(spark, header, files, multi_line) for header, files in groups])
 
 
 def read_strings_csv(spark: SparkSession, paths: str | list[str], pattern: str = "*.csv") -> DataFrame:

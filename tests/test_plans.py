@@ -75,3 +75,16 @@ def test_labels_are_expressions(spark):
     df = Q.points(spark, SF).select(fl.assign_region("lat", "lon").alias("r"))
     text = plan(df)
     assert "Join" not in text and "*(1)" in text
+
+
+def test_kept_profiles_save_a_scan_of_the_levels(spark, tmp_path):
+    def keep(profiles):
+        profiles.write.parquet(str(tmp_path / "profiles"))
+        return spark.read.schema(profiles.schema).parquet(str(tmp_path / "profiles"))
+
+    rows, order = Q.levels(spark, SF), A.LEVEL_ORDER
+    plain = summary.summarize_core(rows, order, columns=Q.SUMMARY_COLUMNS)
+    kept = summary.summarize_core(rows, order, columns=Q.SUMMARY_COLUMNS, keep=keep)
+    scans = re.findall(r"FileScan parquet .*?Location: [^\n]*lineitem", plan(kept).split("== Initial Plan ==")[0])
+    assert len(scans) <= 1
+    assert kept.exceptAll(plain).count() == plain.exceptAll(kept).count() == 0
