@@ -90,6 +90,34 @@ def reference_state(states: States, pres: Column, temp: Column, mode: str) -> Co
     return F.when(n >= 3, F.coalesce(near, shallow))
 
 
+def profile_references(
+    rows: DataFrame, keys: list[str], pres: str, temp: str, mode: str
+) -> DataFrame:
+    """Row count (SIZE) and reference temperature (REFERENCE) per profile, by hashing only.
+
+    The shallowest level matters to profiles without a level down to 10 dbar alone. A state
+    for it would make Spark sort all levels, so its temperature is looked up for those
+    profiles in a second look at the rows, at the smallest pressure the first has found.
+    """
+    p, t = F.col(pres), F.col(temp)
+    valid = valid_pair(p, t, mode)
+    states = States([])
+    size, n = states.count("rows"), states.count("pairs", valid)
+    near = states.mean("near", F.when(valid & (p <= REFERENCE_PRESSURE), t))
+    top = states.min("top", F.when(valid, p))
+    found = states.per_group(rows, keys).select(
+        *keys, size.alias(SIZE), F.when(n >= 3, near).alias("_near"),
+        F.when((n >= 3) & near.isNull(), top).alias("_top"),
+    )
+    deep = found.where("_top IS NOT NULL").select(*keys, "_top")
+    shallow = rows.where(valid).join(deep, keys).where(p == F.col("_top")).groupBy(*keys).agg(
+        F.min(t).alias("_shallow")
+    )
+    return found.join(shallow, keys, "left").select(
+        *keys, SIZE, F.coalesce("_near", "_shallow").alias(REFERENCE)
+    )
+
+
 def mixed_layer_state(
     states: States, pres: Column, temp: Column, mode: str, threshold: float
 ) -> Column:
@@ -149,14 +177,8 @@ def profile_metrics(
     """All measures of every profile: counts, surface temperature, mixed layer, depth."""
     rows = _levels(df, keys, order, pres, temp)
     p, t = F.col(pres), F.col(temp)
-    known = States(order)
-    size = known.count("rows")
-    reference = reference_state(known, p, t, mode)
-    references = known.per_group(rows, keys).select(
-        *keys, size.alias(SIZE), reference.alias(REFERENCE)
-    )
-    # With the reference on the level, one aggregation gives every measure: the
-    # levels are read twice, moved at most once, and no result is joined back.
+    references = profile_references(rows, keys, pres, temp, mode)
+    # With the reference on the level, one aggregation gives every measure.
     levels = attach_groups(rows, references, keys, [REFERENCE], SIZE, order, hot_rows)
     states = States(order)
     total = states.count("rows")
@@ -203,12 +225,7 @@ def mixed_layer_depth(
 ) -> DataFrame:
     """Mixed-layer depth of every profile, null where the threshold is never reached."""
     rows = _levels(df, keys, order, pres, temp)
-    states = States(order)
-    total = states.count("rows")
-    reference = reference_state(states, F.col(pres), F.col(temp), mode)
-    profiles = states.per_group(rows, keys).select(
-        *keys, total.alias(SIZE), reference.alias(REFERENCE)
-    )
+    profiles = profile_references(rows, keys, pres, temp, mode)
     layers = mixed_layer_by_group(
         rows, profiles, keys, keys, order, pres, temp, mode, threshold, hot_rows
     )

@@ -88,3 +88,8 @@ def test_kept_profiles_save_a_scan_of_the_levels(spark, tmp_path):
     scans = re.findall(r"FileScan parquet .*?Location: [^\n]*lineitem", plan(kept).split("== Initial Plan ==")[0])
     assert len(scans) <= 1
     assert kept.exceptAll(plain).count() == plain.exceptAll(kept).count() == 0
+
+
+def test_profile_metrics_hash_the_levels(spark):
+    text = plan(Q.QUERIES["profile_metrics"](spark, SF))
+    assert "SortAggregate" not in text and "HashAggregate" in text
