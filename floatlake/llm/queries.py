@@ -147,4 +147,49 @@ SELECT t.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM texts t LEFT JOIN kept k ON t.doc_id = k.doc_id
 """
 
-ORACLES: dict[str, str] = {"op3_url_filters": _URL_SQL, "op4_substring_dedup": _WINDOWS_SQL, "op8_line_dedup": _LINES_SQL}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _quoted(words: str) -> str:
+    return "[" + ", ".join(f"'{word}'" for word in words.split()) + "]"
+
+
+def _phrase_sql(label: str, phrase: str) -> str:
+    own = f"words[i:i + {len(phrase.split()) - 1}] = {_quoted(phrase)}"
+    return f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(1, len(words) + 1), lambda i: {own})) - 1 AS pos FROM texts"
+
+
+_GRAMS_SQL = "list_transform(range(1, greatest(len(words) - 1, 1)), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])"
+
+_LICENSES_SQL = f"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+), places AS ({" UNION ALL ".join(_phrase_sql(k, v) for k, v in licenses.BASE_PHRASES.items())}
+), base AS (
+  SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_sort(list(DISTINCT label)) AS labels FROM places GROUP BY doc_id
+), templates(label, words) AS (VALUES {", ".join(f"('{k}', {_quoted(v)})" for k, v in sorted(licenses.TEMPLATES.items()))}
+), text_grams AS (
+  SELECT doc_id, unnest(grams) AS gram, generate_subscripts(grams, 1) - 1 AS pos FROM (SELECT doc_id, {_GRAMS_SQL} AS grams FROM texts)
+), template_grams AS (
+  SELECT label, size, unnest(grams) AS gram, generate_subscripts(grams, 1) - 1 AS tpos FROM (SELECT label, len(words) AS size, {_GRAMS_SQL} AS grams FROM templates)
+), hits AS (SELECT doc_id, label, size, pos, tpos, pos - tpos AS diagonal FROM text_grams JOIN template_grams USING (gram)
+), apart AS (
+  SELECT doc_id, label, diagonal, coalesce(diagonal - lag(diagonal) OVER (PARTITION BY doc_id, label ORDER BY diagonal) > {licenses.DRIFT}, false) AS apart
+  FROM (SELECT DISTINCT doc_id, label, diagonal FROM hits)
+), numbered AS (
+  SELECT doc_id, label, diagonal, count(*) FILTER (WHERE apart) OVER (PARTITION BY doc_id, label ORDER BY diagonal) AS number FROM apart
+), covering AS (
+  SELECT doc_id, label, number, size, pos, unnest(range(tpos, tpos + {licenses.GRAM})) AS word FROM hits JOIN numbered USING (doc_id, label, diagonal)
+), spans AS (
+  SELECT doc_id, label, CAST(count(DISTINCT word) AS DOUBLE) / size AS score FROM covering GROUP BY doc_id, label, number, size
+  HAVING count(DISTINCT word) >= {licenses.COVERED} * size AND (max(pos) - min(pos) + {licenses.GRAM}) * 2 <= size * 3
+), own AS (SELECT doc_id, list(DISTINCT label) AS labels, max(score) AS score FROM spans GROUP BY doc_id)
+SELECT t.doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(o.labels, [])))), ','), '') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(o.score, 0.0) END AS score
+FROM texts t LEFT JOIN base b ON t.doc_id = b.doc_id LEFT JOIN own o ON t.doc_id = o.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op3_url_filters": _URL_SQL, "op4_substring_dedup": _WINDOWS_SQL, "op5_license_scans": _LICENSES_SQL, "op8_line_dedup": _LINES_SQL,
+}
