@@ -12,7 +12,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floatlake.llm.common import blocks, free_name
+from floatlake.llm.common import Workspace, blocks, free_name
 
 BUCKETS = 1 << 15
 GRAMS = (1, 2, 3)
@@ -103,9 +103,12 @@ def learn(docs: DataFrame, text: Column, label: Column) -> LanguageModel:
     """
     rows = docs.select(text.cast("string").alias("text"), label.cast("string").alias("label")).dropna()
     counts = rows.mapInArrow(_count, "label string, bucket int, n long").groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    labels = sorted(x[0] for x in counts.filter("bucket = -1").select("label").collect())
-    if len(labels) * BUCKETS * 4 > MODEL_BYTES:
-        raise ValueError(f"{len(labels)} labels make a model over {MODEL_BYTES} bytes")
+    # Written, so that the texts are counted once.
+    counts = Workspace(docs.sparkSession, "language").save(counts, "counts")
+    most = MODEL_BYTES // (BUCKETS * 4)
+    labels = sorted(x[0] for x in counts.filter("bucket = -1").select("label").limit(most + 1).collect())
+    if len(labels) > most:
+        raise ValueError(f"more than {most} labels make a model over {MODEL_BYTES} bytes")
     found = counts.toPandas() if labels else pd.DataFrame({"label": [], "bucket": [], "n": []})
     table, documents = np.zeros((len(labels), BUCKETS)), np.ones(len(labels))
     number = found["label"].map({x: i for i, x in enumerate(labels)}).to_numpy(np.int64)
