@@ -118,7 +118,7 @@ def gram_filter(known: DataFrame) -> list[int] | None:
     n = known.count()
     if n > FILTER_GRAMS:
         return None
-    size = 1 << max(10, (16 * n).bit_length())
+    size = 1 << max(10, (64 * n).bit_length())
     ends = known.select(F.col("h").bitwiseAND(F.lit(size - 1)).alias("e")).distinct().collect()
     words = [0] * (size // 64)
     for row in ends:
@@ -142,7 +142,9 @@ def license_spans(
     rows = docs.select(row_id(id_column).alias("did"), F.xxhash64(text).alias("t"), license_words(text).alias("words"))
     known = templates.select("label", license_words(F.col("text")).alias("words")).withColumn("size", F.size("words"))
     known = grams(known, ["label", "size"]).withColumnsRenamed({"pos": "tpos", "g": "tg"})
-    hits = grams(rows, ["did", "t"], gram_filter(known)).join(known, "h").filter(F.col("g") == F.col("tg"))
+    wanted = gram_filter(known)
+    # Few enough for the filter is few enough to broadcast; more are left to Spark.
+    hits = grams(rows, ["did", "t"], wanted).join(known if wanted is None else F.broadcast(known), "h").filter(F.col("g") == F.col("tg"))
     place = ["did", "t", "label", "size"]
     diagonals = hits.groupBy(*place, (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
         F.collect_set("tpos").alias("at"), F.min("pos").alias("first"), F.max("pos").alias("last")
