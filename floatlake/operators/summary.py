@@ -19,7 +19,7 @@ from floatlake.functions.geo import assign_ocean, assign_region
 from floatlake.functions.measures import valid_pair, valid_pressure
 from floatlake.functions.text import clean_bytes, nan_to_null, to_number
 from floatlake.operators.profile import (
-    REFERENCE, SIZE, depth_states, mixed_layer_by_group, n_levels_keys, profile_references,
+    REFERENCE, SIZE, depth_states, mixed_layer_by_group, n_levels_keys,
     reference_state, surface_temp_state, with_n_levels,
 )
 from floatlake.operators.skew import HOT_ROWS, any_null, attach_groups
@@ -174,7 +174,12 @@ def _bgc_layers(
     levels = rows.select(*dict.fromkeys([*keys, *order, pres, temp])).withColumns(
         {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
     ).where(valid_pair(pres, temp, "bgc"))
-    references = profile_references(levels, keys, pres, temp, "bgc")
+    known = States(order)
+    size = known.count("rows")
+    reference = reference_state(known, F.col(pres), F.col(temp), "bgc")
+    references = known.per_group(levels, keys).select(
+        *keys, size.alias(SIZE), reference.alias(REFERENCE)
+    )
     return mixed_layer_by_group(
         levels, references, keys, keys, order, pres, temp, "bgc", threshold, hot_rows
     )
