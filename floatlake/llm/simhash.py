@@ -122,19 +122,31 @@ def node_pairs(nodes: DataFrame, max_bits: int, workspace: Workspace) -> DataFra
     return live if done is None else done.unionByName(live)
 
 
-def trie_links(values: np.ndarray, groups: np.ndarray, max_bits: int, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def trie_links(values: np.ndarray, groups: np.ndarray, max_bits: int, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions (i < j) of equal group whose values differ in 1 to `max_bits` bits.
 
-    `values` are sorted inside each group. Two nodes go down the trie together: each level
+    `values` are sorted inside each group, and `depths` is one number inside it: a group holds the
+    values of one trie node at that depth, or of two, which start with the bits they differ in
+    spent. Two nodes go down the trie together: each level
     splits both by their next bit, adds one where the branches differ, and leaves pairs over budget.
     Pairs of few values are compared directly.
     """
     edge = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1], [True])))
-    lo1, hi1 = edge[:-1], edge[1:]
-    lo2, hi2 = lo1, hi1
-    spent = np.zeros(len(lo1), np.int64)
+    left, right = edge[:-1], edge[1:]
+    start = depths[left]
+    # Shifted twice, since numpy shifts by less than 64 bits only.
+    prefix = (values >> np.uint64(1)) >> (63 - depths).astype(np.uint64)
+    border = np.flatnonzero((groups[1:] == groups[:-1]) & (prefix[1:] != prefix[:-1])) + 1
+    middle = right.copy()
+    middle[np.searchsorted(left, border, "right") - 1] = border
+    two = middle < right
+    first = [left, np.where(two, middle, right), np.where(two, middle, left), right, np.bitwise_count(prefix[left] ^ prefix[right - 1]).astype(np.int64)]
+    lo1, hi1, lo2, hi2, spent = (x[:0] for x in first)
     found_a, found_b = [], []
-    for level in range(depth, 65):
+    for level in range(int(start.min()) if len(start) else 65, 65):
+        new = (start == level) & (first[4] <= max_bits)
+        if new.any():
+            lo1, hi1, lo2, hi2, spent = (np.concatenate((x, y[new])) for x, y in zip((lo1, hi1, lo2, hi2, spent), first, strict=True))
         few = ((hi1 - lo1) * (hi2 - lo2) <= 16) | (level == 64)
         if few.any():
             n2 = (hi2 - lo2)[few]
@@ -147,7 +159,7 @@ def trie_links(values: np.ndarray, groups: np.ndarray, max_bits: int, depth: int
             found_b.append(j[near])
         lo1, hi1, lo2, hi2, spent = (x[~few] for x in (lo1, hi1, lo2, hi2, spent))
         if not len(lo1):
-            break
+            continue
         bit = np.uint64(1) << np.uint64(63 - level)
         ones = np.concatenate(([0], np.cumsum((values & bit) != 0)))
         # Values of a node share all higher bits, so those without this bit come first.
@@ -205,7 +217,7 @@ def _join_nodes(max_bits: int):
             values = part["v"].view(np.uint64)
             order = np.lexsort((values, group))
             values, group = values[order], group[order]
-            i, j = trie_links(values, group, max_bits, int(part["depth"].min()) if len(values) else 0)
+            i, j = trie_links(values, group, max_bits, part["depth"][order].astype(np.int64))
             turn = part["turn"][order]
             x, y = _turn_back(values[i], turn[i]), _turn_back(values[j], turn[j])
             kept = _forest(x.tolist(), y.tolist())

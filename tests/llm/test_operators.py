@@ -159,6 +159,29 @@ def test_trie_links_find_every_component(spark, monkeypatch, node_rows):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_trie_links_between_two_nodes():
+    rng = np.random.default_rng(8)
+    for depth in (21, 29, 61):
+        values, groups = [], []
+        for number, apart in enumerate((0, 1, 3, 2**7)):
+            top = int(rng.integers(0, 2 ** (depth - 8))) << 8
+            low = rng.integers(0, 2 ** min(12, 64 - depth), 500, dtype=np.uint64).tolist()
+            own = sorted({(top ^ (apart if k % 2 else 0)) << (64 - depth) | x for k, x in enumerate(low)})
+            values += own
+            groups += [number] * len(own)
+        values, groups = np.array(values, np.uint64), np.array(groups)
+        i, j = simhash.trie_links(values, groups, 2, np.full(len(values), depth))
+        found = set(zip(i.tolist(), j.tolist(), strict=True))
+        node = values >> np.uint64(64 - depth)
+        mixed = np.isin(groups, (1, 2, 3))
+        expected = {
+            (a, b) for a in range(len(values)) for b in np.flatnonzero((groups == groups[a]) & (np.bitwise_count(values ^ values[a]) <= 2)).tolist()
+            # Links inside one node of two are found where that node is paired with itself.
+            if a < b and (node[a] != node[b] or not mixed[a])
+        }
+        assert found == expected and expected
+
+
 @pytest.mark.parametrize("name", ["edges", "documents"])
 def test_statistics(name, request):
     df = request.getfixturevalue(name)
