@@ -136,7 +136,8 @@ def license_spans(
     word by word; those whose hash ends like no template's are left out before it. Hits are counted by diagonal (place in the text less place in the template);
     diagonals at most DRIFT apart are one place, since words put in or left out shift the rest.
     A place holds if its k-grams cover `covered` of the template's words and it is not longer
-    than the template by over half; the share covered is its score.
+    than the template by over half; the share covered is its score. In a place that is too
+    long, runs of its diagonals that hold by themselves are taken.
     """
     text = F.coalesce(F.col(text_column).cast("string"), F.lit(""))
     rows = docs.select(row_id(id_column).alias("did"), F.xxhash64(text).alias("t"), license_words(text).alias("words"))
@@ -153,14 +154,48 @@ def license_spans(
     apart = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(own) > DRIFT).cast("int"), F.lit(0))
     merged = (
         diagonals.withColumn("apart", apart).withColumn("number", F.sum("apart").over(own))
-        .groupBy(*place, "number").agg(F.collect_list("at").alias("at"), F.min("first").alias("first"), F.max("last").alias("last"))
+        .groupBy(*place, "number").agg(F.sort_array(F.collect_list(F.struct("diagonal", "at", "first", "last"))).alias("own"))
     )
-    words = F.array_distinct(F.flatten(F.transform(F.flatten("at"), lambda p: F.sequence(p, p + GRAM - 1))))
-    score = F.size(words) / F.col("size")
-    return merged.select(
-        "did", "t", "label", "size", F.col("first").cast("long").alias("first_word"),
-        (F.col("last") + GRAM - 1).cast("long").alias("last_word"), score.alias("score"),
-    ).filter((F.col("score") >= covered) & ((F.col("last_word") - F.col("first_word") + 1) * 2 <= F.col("size") * 3)).drop("size")
+    size = F.col("size")
+    whole = _span(F.col("own"), size)
+    held = F.when(_short(whole, size), F.array(whole)).otherwise(_held_runs(F.col("own"), size, covered))
+    return merged.filter(whole["score"] >= covered).select("did", "t", "label", F.explode(held).alias("x")).select(
+        "did", "t", "label", F.col("x.first").alias("first_word"), F.col("x.last").alias("last_word"), "x.score"
+    )
+
+
+def _span(diagonals: Column, size: Column) -> Column:
+    """`first, last, score` of some diagonals (`at`, `first`, `last`) of a template of `size` words."""
+    at = F.flatten(F.transform(diagonals, lambda d: d["at"]))
+    words = F.array_distinct(F.flatten(F.transform(at, lambda p: F.sequence(p, p + GRAM - 1))))
+    return F.struct(
+        F.array_min(F.transform(diagonals, lambda d: d["first"])).cast("long").alias("first"),
+        (F.array_max(F.transform(diagonals, lambda d: d["last"])) + GRAM - 1).cast("long").alias("last"),
+        (F.size(words) / size).alias("score"),
+    )
+
+
+def _short(span: Column, size: Column) -> Column:
+    return (span["last"] - span["first"] + 1) * 2 <= size * 3
+
+
+def _held_runs(diagonals: Column, size: Column, covered: float) -> Column:
+    """Spans of neighbouring diagonals that hold, best score first, then the shortest; none overlaps a better one.
+
+    Hits of a span that is not too long are on diagonals less than 2.5 times the template apart.
+    """
+    n = F.size(diagonals)
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), n), lambda i: F.transform(
+        F.sequence(F.lit(1), F.least(n - i + 1, size * 3)), lambda k: _span(F.slice(diagonals, i, k), size)
+    )))
+    good = F.filter(runs, lambda x: (x["score"] >= covered) & _short(x, size))
+    ranked = F.sort_array(F.transform(good, lambda x: F.struct(
+        (-x["score"]).alias("worse"), (x["last"] - x["first"]).alias("length"), x["first"].alias("first"), x["last"].alias("last"), x["score"].alias("score")
+    )))
+    best = F.transform(ranked, lambda x: F.struct(x["first"].alias("first"), x["last"].alias("last"), x["score"].alias("score")))
+    return F.aggregate(best, F.slice(best, 1, 0), lambda kept, x: F.when(
+        F.exists(kept, lambda y: (y["first"] <= x["last"]) & (x["first"] <= y["last"])), kept
+    ).otherwise(F.concat(kept, F.array(x))))
 
 
 def scan_licenses(

@@ -287,6 +287,20 @@ def test_license_spans(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
 
 
+def test_license_followed_by_a_part_of_itself(spark):
+    texts = {
+        1: "Released under the MIT License. The MIT License permits all", 2: "Licensed under CC BY 4.0 (CC BY 4.0)",
+        3: "Released under the MIT License. The MIT License; released under the MIT License", 4: "the MIT License the MIT License the MIT License",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = {r.doc_id: r for r in licenses.scan_licenses(df).collect()}
+    spans = {i: [(x.label, x.first_word, x.last_word, x.score) for x in r.spans] for i, r in rows.items()}
+    assert spans[1] == [("mit", 0, 4, 1.0)] and list(rows[1].labels) == ["mit"] and rows[1].score == 1
+    assert spans[2] == [("cc-by-4.0", 0, 5, 1.0)] and list(rows[2].labels) == ["cc-by", "cc-by-4.0"]
+    assert spans[3] == [("mit", 0, 4, 1.0), ("mit", 8, 12, 1.0)]
+    assert spans[4] == []
+
+
 def test_leaks(spark):
     docs, items = (queries.table(spark, SF, x) for x in ("documents", "benchmark"))
     texts = [(i, decontaminate.words_of(t)) for i, t in pairs(docs)]
