@@ -425,6 +425,17 @@ def test_page_blocks():
     assert html.page_blocks('<main><p class="cookieNote">x<p>y<div id="postComments"><article>z</article></div></main>') == [("y", True)]
 
 
+def test_names_of_headings_and_text_inside_articles():
+    kept = (
+        '<h2 id="related-work">a</h2><section id="search-algorithms"><p id="social">b</p></section><p class="notice">c</p>'
+        '<p>d<span class="hl-comment">e</span> <a class="share" id="skip">f</a></p><h3 class="promotion">g</h3><div id="cookie-recipes">h</div>'
+    )
+    assert html.page_blocks(f"<article>{kept}</article>") == [(x, True) for x in ("a", "b", "c", "de f", "g", "h")]
+    gone = '<div class="related">x</div><div id="comments">x</div><ul id="comment-12"><li>x</ul><section role="search">x</section><p class="ad">x</p><h2 hidden>x</h2>'
+    assert html.page_blocks(f"<article><p>a</p>{gone}</article>") == [("a", True)]
+    assert html.page_blocks("<div id='site-search'>x</div><p>z</p>") == [("z", False)]
+
+
 def test_boilerplate_goes_by_host(spark):
     notice = "this site uses small files to remember what you like please agree"
     pages = [(i, f"http://h.org/{i}", f"<div>{notice}</div><div>{' '.join(f'u{i}x{k}' for k in range(20))}</div>") for i in range(30)]
