@@ -451,6 +451,18 @@ def test_boilerplate_goes_by_host(spark):
     assert html.main_texts(df).count() == len(pages) and html.main_texts(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_copies_are_no_boilerplate(tag):
+    text = lambda i: " ".join(f"u{i}x{k}" for k in range(20))
+    notice = " ".join(f"n{k}" for k in range(12))
+    page = lambda *blocks: html.page_blocks("".join(f"<{tag}><p>{x}</p></{tag}>" for x in blocks))
+    assert html.chunk_texts([page(text(0))] * 5) == [[text(0)]] * 5
+    assert html.chunk_texts([page(text(0))] * 6 + [page(text(i)) for i in range(1, 5)]) == [[text(0)]] * 6 + [[text(i)] for i in range(1, 5)]
+    # The notice goes from pages of other words too; copies stay copies, and a page of the notice alone stays.
+    pages = [page(notice, text(i)) for i in (0, 0, 0, 1, 2, 3, 4, 5)] + [page(notice)]
+    assert html.chunk_texts(pages) == [[text(i)] for i in (0, 0, 0, 1, 2, 3, 4, 5)] + [[notice]]
+
+
 def test_articles_are_kept_whole(spark):
     import re as _re
     from html import unescape
