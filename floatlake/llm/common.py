@@ -15,6 +15,9 @@ NO_ID = -(2**63)
 #: Texts are handed to numpy in blocks of about this many characters.
 BLOCK_CHARS = 1_000_000
 
+#: monotonically_increasing_id() has the partition above so many bits.
+_RANGE_BITS = 33
+
 _own_folder: list[str] = []
 
 
@@ -48,6 +51,23 @@ class Workspace:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(rows: DataFrame, order: list[str], workspace: Workspace, name: str) -> DataFrame:
+    """All rows with `number`: 0, 1, ... in ascending order (nulls first), which must tell rows apart.
+
+    Sorted ranges of rows are written; the driver sees one count per range, no row.
+    """
+    placed = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("number", F.monotonically_increasing_id())
+    placed = workspace.save(placed, name)
+    sizes = placed.groupBy(F.shiftright("number", _RANGE_BITS).alias("range")).count().orderBy("range").collect()
+    starts, total = [], 0
+    for x in sizes:
+        starts.append((x["range"], total - (x["range"] << _RANGE_BITS)))
+        total += x["count"]
+    moved = rows.sparkSession.createDataFrame(starts, "range long, moved long")
+    joined = placed.withColumn("range", F.shiftright("number", _RANGE_BITS)).join(F.broadcast(moved), "range")
+    return joined.withColumn("number", F.col("number") + F.col("moved")).drop("range", "moved")
+
+
 def row_id(column: str) -> Column:
     return F.coalesce(F.col(column).cast("long"), F.lit(NO_ID))
 

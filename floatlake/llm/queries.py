@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floatlake.llm import decontaminate, html, language, licenses, lines, packing, quality, simhash, substrings, urls
+from floatlake.llm import clusters, decontaminate, html, language, licenses, lines, merkle, packing, quality, simhash, sql, substrings, urls
 
 #: Rules of the URL query: key and verdict.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -86,10 +86,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    return merkle.manifest(table(spark, sf_dir, "documents"), F.when(third, merkle.lowered_text(F.col("text"))))
+
+
+def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clusters.centroid_clusters(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_quality_rules, op3_url_filters, op4_substring_dedup, op5_license_scans,
         op6_html_extraction, op7_language_id, op8_line_dedup, op9_packing, op10_simhash,
+        op11_merkle_manifest, op12_centroid_clusters,
     )
 }
 
@@ -192,4 +202,5 @@ FROM texts t LEFT JOIN base b ON t.doc_id = b.doc_id LEFT JOIN own o ON t.doc_id
 
 ORACLES: dict[str, str] = {
     "op3_url_filters": _URL_SQL, "op4_substring_dedup": _WINDOWS_SQL, "op5_license_scans": _LICENSES_SQL, "op8_line_dedup": _LINES_SQL,
+    "op11_merkle_manifest": sql.MANIFEST_SQL, "op12_centroid_clusters": sql.CLUSTERS_SQL,
 }
