@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from floatlake.llm import clusters, decontaminate, html, language, licenses, lines, merkle, packing, quality, simhash, sql, substrings, urls
+from floatlake.llm import clusters, decontaminate, html, language, licenses, lines, merkle, packing, private, quality, simhash, sql, substrings, urls
 
 #: Rules of the URL query: key and verdict.
 URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
@@ -95,11 +95,15 @@ def op12_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.centroid_clusters(table(spark, sf_dir, "embeddings")).drop("centroid")
 
 
+def op13_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.private_digest(private.personal_data(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_quality_rules, op3_url_filters, op4_substring_dedup, op5_license_scans,
         op6_html_extraction, op7_language_id, op8_line_dedup, op9_packing, op10_simhash,
-        op11_merkle_manifest, op12_centroid_clusters,
+        op11_merkle_manifest, op12_centroid_clusters, op13_private_data,
     )
 }
 
