@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,13 +21,16 @@ BLOCK_CHARS = 1_000_000
 _RANGE_BITS = 33
 
 _own_folder: list[str] = []
+_open: list[Workspace] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share (`spark.checkpoint.dir`); a local one only where none is set."""
+    """The folder all executors share (`spark.checkpoint.dir`); where none is set, one of this machine, if it is the only one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_folder:
         _own_folder.append("file://" + tempfile.mkdtemp(prefix="floatlake-"))
     return _own_folder[0]
@@ -37,6 +42,7 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        _open.append(self)
 
     def save(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -46,11 +52,31 @@ class Workspace:
 
     def drop(self, name: str) -> None:
         """Delete a table no later step reads."""
+        self._delete(f"{self.root}/{name}")
+
+    def close(self) -> None:
+        """Delete all tables of the run, once nothing reads its result any more."""
+        self._delete(self.root)
+        if self in _open:
+            _open.remove(self)
+
+    def _delete(self, folder: str) -> None:
         context = self.spark.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def finished_tables() -> Iterator[None]:
+    """Deletes, at its end, the tables of all operators called inside, whose results must be written by then."""
+    before = list(_open)
+    try:
+        yield
+    finally:
+        for workspace in [x for x in _open if x not in before]:
+            workspace.close()
+
+
 def numbered(rows: DataFrame, order: list[str], workspace: Workspace, name: str) -> DataFrame:
     """All rows with `number`: 0, 1, ... in ascending order (nulls first), which must tell rows apart.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +14,18 @@ URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1
 #: Hosts with one of these between dots and hyphens are listed.
 HOST_WORDS = ["ads", "adult", "bets", "casino", "pills", "porn", "spam", "xxx"]
 
-TOKENIZER = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+def tokenizer() -> tuple[str, str, str]:
+    """Vocabulary, ranks and pattern of the packing query, looked up when it runs."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def __getattr__(name: str) -> tuple[str, str, str]:
+    if name == "TOKENIZER":
+        return tokenizer()
+    raise AttributeError(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,7 +82,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack(docs: DataFrame) -> DataFrame:
-    found = packing.pack_documents(docs, *TOKENIZER)
+    found = packing.pack_documents(docs, *tokenizer())
     return found.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group"
     )

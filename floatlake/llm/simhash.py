@@ -19,6 +19,8 @@ TOP_BITS = 21
 #: Node pairs with more fingerprints than this are split before a task works on them.
 NODE_ROWS = 200_000
 SPLIT_BITS = 8
+#: Components come in about twice as many rounds as the logarithm of the longest chain; more is an error.
+MOST_ROUNDS = 200
 
 _FINGERPRINTS = pa.schema([("did", pa.int64()), ("fp", pa.int64())])
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -262,7 +264,7 @@ def components(links: DataFrame, workspace: Workspace) -> DataFrame:
         links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "star0"
     )
     seen = None
-    for step in range(1, 200):
+    for step in range(1, MOST_ROUNDS + 1):
         both = state.unionByName(state.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
@@ -274,9 +276,9 @@ def components(links: DataFrame, workspace: Workspace) -> DataFrame:
         workspace.drop(f"large{step}")
         workspace.drop(f"star{step - 1}")
         if now == seen:
-            break
+            return state.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = now
-    return state.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    raise RuntimeError(f"components still changed after {MOST_ROUNDS} rounds")
 
 
 def near_duplicates(
