@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from floatlake.llm import decontaminate, language, lines, simhash
-from floatlake.llm.common import Workspace
+from floatlake.llm.common import Workspace, finished_tables
 from floatlake.llm.queries import pack, table
 
 
@@ -47,9 +47,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`; each one's rows are written and read again by the next."""
+    """All stages over `documents`; each one's rows are written and read again by the next.
+
+    What a stage itself has written on the way is deleted once its rows are.
+    """
     workspace = Workspace(spark, "pipeline")
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = workspace.save(stage(spark, docs, sf_dir), name)
+        with finished_tables():
+            docs = workspace.save(stage(spark, docs, sf_dir), name)
     return docs
