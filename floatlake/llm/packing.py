@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,53 +19,44 @@ from floatlake.llm.common import blocks, record_batch
 END_OF_TEXT = "<|endoftext|>"
 #: Documents of about this many tokens are packed together before their sequences leave the task.
 WINDOW_TOKENS = 1 << 20
-#: Words whose ids a Python worker remembers.
-CACHE_WORDS = 200_000
+#: White space in a row from which on a text goes to the slower encoder.
+LONG_GAP = 100_000
 
 _PIECES = pa.schema([
     ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()), ("doc_tokens", pa.int64()),
     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("tier", pa.int64()), ("step_group", pa.int64()),
 ])
-#: A space before white space: only there the words between single spaces are not split alike alone.
-_UNEVEN = regex.compile(r" \s")
+_GAP = re.compile(r"\s+")
 
 
 class Encoder:
-    """Byte-level BPE ids as `tokenizers` gives them, with remembered words.
+    """Byte-level BPE ids as `tokenizers` gives them, by a faster encoder of the same ranks and pattern.
 
-    No token crosses a single space between two other characters, so a text is encoded word by
-    word (with the space before it). Texts with other white space after a space are encoded
-    whole; those that spell a special token go to `tokenizers` itself.
+    Texts that spell a special token, and texts with so long a gap that the faster one's pattern
+    runs out of stack, go to `tokenizers` itself.
     """
 
     def __init__(self, vocabulary: str, ranks: str, pattern: str) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(ranks, "rb") as lines:
             table = {base64.b64decode(x): int(y) for x, y in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        self.full = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, list[int]] = {}
-
-    def __call__(self, text: str) -> list[int]:
-        if END_OF_TEXT in text:
-            return self.full.encode(text, add_special_tokens=False).ids
-        if _UNEVEN.search(text):
-            return self.fast.encode_ordinary(text)
-        first, *rest = text.split(" ")
-        ids = self.fast.encode_ordinary(first)
-        known, encode = self.known, self.fast.encode_ordinary
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        for word in rest:
-            found = known.get(word)
-            if found is None:
-                found = encode(" " + word)
-                if len(word) < 64:
-                    known[word] = found
-            ids += found
-        return ids
+        self.vocabulary = vocabulary
+
+    @cached_property
+    def full(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.vocabulary)
+
+    def __call__(self, text: str) -> np.ndarray:
+        """Ids as little-endian 32-bit numbers."""
+        if END_OF_TEXT in text or (len(text) >= LONG_GAP and any(x.end() - x.start() >= LONG_GAP for x in _GAP.finditer(text))):
+            ids = self.full.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(text)
+        return np.array(ids, "<u4")
 
 
 _encoders: dict[tuple[str, str, str], Encoder] = {}
@@ -219,7 +211,7 @@ def _pack_partition(files: tuple[str, str, str], tiers: tuple[int, ...], separat
         for batch in batches:
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
             for doc_id, text in zip(ids, texts, strict=True):
-                tokens = np.array([*encode(text.as_py() or ""), separator], "<u4")
+                tokens = np.append(encode(text.as_py() or ""), np.uint32(separator))
                 held[state["next"]] = doc_id, tokens
                 new.append(state["next"])
                 state["next"] += 1

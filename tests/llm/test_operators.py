@@ -484,3 +484,11 @@ def test_repeated_tokens():
         whole = i + 5 <= 300 and page_of[i] == page_of[i + 4]
         pages = {page_of[j] for j in range(296) if tuple(tokens[j : j + 5]) == own and page_of[j] == page_of[j + 4]}
         assert counts[i] == (len(pages) if whole else 0)
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "a\n" + "\n" * 300_000 + " b", ("x" + " " * 99_999) * 3, "\u00a0" * 400_000, "y" * 400_000])
+def test_long_gaps_are_encoded(text):
+    from tokenizers import Tokenizer
+
+    full = Tokenizer.from_file(queries.TOKENIZER[0])
+    assert packing.encoder(*queries.TOKENIZER)(text).tolist() == full.encode(text, add_special_tokens=False).ids
