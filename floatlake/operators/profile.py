@@ -1,9 +1,8 @@
 """Measures of one profile: level count, surface temperature, mixed layer, depth.
 
 A profile is the group of level rows that share ``keys``. Rows with a null key form
-no profile. All results are one row per profile, from partial + final
-aggregations; the mixed-layer depth needs a second look at the levels, because its
-reference temperature is known only after the first.
+no profile. All results are one row per profile, from one look at the levels and
+partial + final aggregations; see states.records for how the mixed layer does with one.
 """
 
 from __future__ import annotations
@@ -16,10 +15,9 @@ from floatlake.catalog import (
 from floatlake.functions.measures import pressure_to_depth, valid_pair, valid_pressure
 from floatlake.functions.text import is_finite, nan_to_null
 from floatlake.operators.skew import HOT_ROWS, any_null, attach_groups
-from floatlake.operators.states import States
+from floatlake.operators.states import LIST_ROWS, States
 
 SIZE = "_size"
-REFERENCE = "_reference"
 
 
 def n_levels_keys(columns: list[str]) -> list[str]:
@@ -78,86 +76,24 @@ def depth_states(states: States, pres: Column, mode: str) -> tuple[Column, Colum
     return states.min("depth", kept), states.max("depth", kept), states.mean("depth", kept)
 
 
-def reference_state(states: States, pres: Column, temp: Column, mode: str) -> Column:
-    """Reference temperature of the mixed layer, null with fewer than three levels.
+def layer_state(states: States, pres: Column, temp: Column, mode: str, threshold: float) -> Column:
+    """Mixed-layer depth: the smallest pressure whose temperature differs from the reference by the threshold.
 
-    Mean of the levels down to 10 dbar, else the temperature of the shallowest level.
+    The reference is the mean of the levels down to 10 dbar, else the temperature of the
+    shallowest level (the smaller one of a tie); with fewer than three levels there is none. It is
+    known only when all levels are merged, so levels that can be the first beyond some
+    temperature are kept till then. "First by depth" equals "smallest pressure".
     """
     valid = valid_pair(pres, temp, mode)
     n = states.count("pairs", valid)
     near = states.mean("near", F.when(valid & (pres <= REFERENCE_PRESSURE), temp))
-    shallow = states.shallowest("pairs", pres, temp, valid)
-    return F.when(n >= 3, F.coalesce(near, shallow))
-
-
-def profile_references(
-    rows: DataFrame, keys: list[str], pres: str, temp: str, mode: str
-) -> DataFrame:
-    """Row count (SIZE) and reference temperature (REFERENCE) per profile, by hashing only.
-
-    The shallowest level matters to profiles without a level down to 10 dbar alone. A state
-    for it would make Spark sort all levels, so its temperature is looked up for those
-    profiles in a second look at the rows, at the smallest pressure the first has found.
-    """
-    p, t = F.col(pres), F.col(temp)
-    valid = valid_pair(p, t, mode)
-    states = States([])
-    size, n = states.count("rows"), states.count("pairs", valid)
-    near = states.mean("near", F.when(valid & (p <= REFERENCE_PRESSURE), t))
-    top = states.min("top", F.when(valid, p))
-    found = states.per_group(rows, keys).select(
-        *keys, size.alias(SIZE), F.when(n >= 3, near).alias("_near"),
-        F.when((n >= 3) & near.isNull(), top).alias("_top"),
-    )
-    deep = found.where("_top IS NOT NULL").select(*keys, "_top")
-    shallow = rows.where(valid).join(deep, keys).where(p == F.col("_top")).groupBy(*keys).agg(
-        F.min(t).alias("_shallow")
-    )
-    return found.join(shallow, keys, "left").select(
-        *keys, SIZE, F.coalesce("_near", "_shallow").alias(REFERENCE)
-    )
-
-
-def mixed_layer_state(
-    states: States, pres: Column, temp: Column, mode: str, threshold: float
-) -> Column:
-    """Smallest pressure whose temperature differs from the reference by the threshold.
-
-    "First by depth" equals "smallest pressure", so nothing is sorted by depth.
-    """
-    crossing = F.abs(temp - F.col(REFERENCE)) >= threshold
-    return states.min("layer", F.when(valid_pair(pres, temp, mode) & crossing, pres))
-
-
-def mixed_layer_by_group(
-    rows: DataFrame,
-    references: DataFrame,
-    keys: list[str],
-    out_keys: list[str],
-    order: list[str],
-    pres: str,
-    temp: str,
-    mode: str,
-    threshold: float = MIXED_LAYER_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Smallest pressure that differs from the reference by the threshold, per out_keys.
-
-    ``references`` holds, per ``keys``, the reference temperature, the row count and
-    the ``out_keys``. Groups without a usable level are absent.
-    """
-    usable = rows.where(valid_pair(pres, temp, mode)).select(*keys, pres, temp, *[
-        o for o in order if o not in (*keys, pres, temp)
-    ])
-    extra = [k for k in out_keys if k not in keys]
-    joined = attach_groups(
-        usable, references, keys, [REFERENCE, *extra], SIZE, order, hot_rows
-    )
-    states = States(order)
-    layer = mixed_layer_state(states, F.col(pres), F.col(temp), mode, threshold)
-    return states.per_group(joined, out_keys).select(
-        *out_keys, layer.alias("mixed_layer_depth_m")
-    )
+    points = states.staircase("pairs", pres, temp, valid)
+    reference = F.when(n >= 3, F.coalesce(near, F.array_min(points)["temp"]))
+    # The reference stands in an array of one, so that it is worked out once a profile and not once a level.
+    beyond = F.transform(F.array(reference), lambda known: F.array_min(F.transform(
+        F.filter(points, lambda x: F.abs(x["temp"] - known) >= threshold), lambda x: x["pres"]
+    )))
+    return F.get(beyond, F.lit(0))
 
 
 def _levels(df: DataFrame, keys: list[str], order: list[str], pres: str, temp: str) -> DataFrame:
@@ -172,21 +108,18 @@ def _levels(df: DataFrame, keys: list[str], order: list[str], pres: str, temp: s
 def profile_metrics(
     df: DataFrame, keys: list[str], order: list[str], mode: str = "bgc",
     pres: str = "PRES", temp: str = "TEMP", threshold: float = MIXED_LAYER_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """All measures of every profile: counts, surface temperature, mixed layer, depth."""
     rows = _levels(df, keys, order, pres, temp)
     p, t = F.col(pres), F.col(temp)
-    references = profile_references(rows, keys, pres, temp, mode)
-    # With the reference on the level, one aggregation gives every measure.
-    levels = attach_groups(rows, references, keys, [REFERENCE], SIZE, order, hot_rows)
     states = States(order)
     total = states.count("rows")
     valid = states.count("valid", valid_pressure(p))
     surface = surface_temp_state(states, p, t)
     low, high, mean = depth_states(states, p, mode)
-    layer = mixed_layer_state(states, p, t, mode, threshold)
-    return states.per_group(levels, keys).select(
+    layer = layer_state(states, p, t, mode, threshold)
+    return states.grouped(rows, keys, hot_rows).select(
         *keys,
         total.alias("row_count"),
         valid.alias("n_levels"),
@@ -221,12 +154,10 @@ def depth_stats(
 def mixed_layer_depth(
     df: DataFrame, keys: list[str], order: list[str], mode: str = "bgc",
     pres: str = "PRES", temp: str = "TEMP", threshold: float = MIXED_LAYER_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """Mixed-layer depth of every profile, null where the threshold is never reached."""
     rows = _levels(df, keys, order, pres, temp)
-    profiles = profile_references(rows, keys, pres, temp, mode)
-    layers = mixed_layer_by_group(
-        rows, profiles, keys, keys, order, pres, temp, mode, threshold, hot_rows
-    )
-    return profiles.select(*keys).join(layers, keys, "left")
+    states = States(order)
+    layer = layer_state(states, F.col(pres), F.col(temp), mode, threshold)
+    return states.grouped(rows, keys, hot_rows).select(*keys, layer.alias("mixed_layer_depth_m"))

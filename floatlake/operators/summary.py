@@ -16,14 +16,16 @@ from floatlake.catalog import (
 )
 from floatlake.functions.dates import compact_date, juld_to_timestamp, time_of_day
 from floatlake.functions.geo import assign_ocean, assign_region
-from floatlake.functions.measures import valid_pair, valid_pressure
+from floatlake.functions.measures import valid_pressure
 from floatlake.functions.text import clean_bytes, nan_to_null, to_number
 from floatlake.operators.profile import (
-    REFERENCE, SIZE, depth_states, mixed_layer_by_group, n_levels_keys,
-    reference_state, surface_temp_state, with_n_levels,
+    depth_states, layer_state, n_levels_keys, surface_temp_state, with_n_levels,
 )
-from floatlake.operators.skew import HOT_ROWS, any_null, attach_groups
-from floatlake.operators.states import States, is_row_number
+from floatlake.operators.skew import any_null
+from floatlake.operators.states import LIST_ROWS, WHOLE, States, is_row_number
+
+#: Name of the mixed layer beside states.
+LAYER = "_layer"
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 _FRACTIONAL = ("float", "double")
@@ -167,22 +169,13 @@ def _bgc_keys(names: list[str], pres: str | None) -> tuple[list[str], bool]:
     return keys, set(n_levels_keys(names)) <= set(keys)
 
 
-def _bgc_layers(
-    rows: DataFrame, keys: list[str], order: list[str], pres: str, temp: str,
-    threshold: float, hot_rows: int,
-) -> DataFrame:
-    levels = rows.select(*dict.fromkeys([*keys, *order, pres, temp])).withColumns(
-        {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
-    ).where(valid_pair(pres, temp, "bgc"))
-    known = States(order)
-    size = known.count("rows")
-    reference = reference_state(known, F.col(pres), F.col(temp), "bgc")
-    references = known.per_group(levels, keys).select(
-        *keys, size.alias(SIZE), reference.alias(REFERENCE)
-    )
-    return mixed_layer_by_group(
-        levels, references, keys, keys, order, pres, temp, "bgc", threshold, hot_rows
-    )
+def _points(rows: DataFrame, keys: list[str], pres: str, temp: str) -> DataFrame:
+    """What the mixed layer needs of the levels.
+
+    It is aggregated by itself: its lists would put the many states of a summary through a slower
+    kind of aggregation, which costs more than a second look at these few columns.
+    """
+    return rows.select(*dict.fromkeys([*keys, pres, temp]))
 
 
 def summarize_bgc(
@@ -192,7 +185,7 @@ def summarize_bgc(
     columns: list[str] | None = None,
     partition_columns: list[str] | None = None,
     threshold: float = MIXED_LAYER_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = LIST_ROWS,
 ) -> DataFrame:
     """Summary of biogeochemical profiles.
 
@@ -211,7 +204,7 @@ def summarize_bgc(
 
     keys, counting_inside = _bgc_keys(names, pres)
     if "n_levels" in keys and not counting_inside and find_column(names, "n_levels") is None:
-        df = with_n_levels(df, n_levels_keys(names), order, pres, hot_rows)
+        df = with_n_levels(df, n_levels_keys(names), order, pres)
     keys = list(dict.fromkeys([*(partition_columns or []), *keys]))
     row_keys = [k for k in keys if not (counting_inside and k == "n_levels")]
 
@@ -250,15 +243,16 @@ def summarize_bgc(
         "avg_REGION": assign_region("first_LATITUDE", "first_LONGITUDE", "closed"),
         "ocean": assign_ocean("first_LATITUDE", "first_LONGITUDE", "boxes"),
     })
-
     if pres is None or temp is None:
-        layered = summary.withColumn("mixed_layer_depth_m", F.lit(None).cast("double"))
+        summary = summary.withColumn("mixed_layer_depth_m", F.lit(None).cast("double"))
     else:
-        layers = _bgc_layers(rows, row_keys, order, pres, temp, threshold, hot_rows)
-        layered = summary.join(layers, row_keys, "left")
+        points = States([], prefix="points")
+        layer = layer_state(points, p, t, "bgc", threshold).alias("mixed_layer_depth_m")
+        layers = points.grouped(_points(rows, row_keys, pres, temp), row_keys, hot_rows)
+        summary = summary.join(layers.select(*row_keys, layer), row_keys, "left")
     measures = ["surface_temp_C", "mixed_layer_depth_m", "min_DEPTH_m", "max_DEPTH_m",
                 "avg_DEPTH_m", "avg_REGION", "ocean", "first_LATITUDE", "first_LONGITUDE"]
-    return layered.select(*keys, *measures, *values)
+    return summary.select(*keys, *measures, *values)
 
 
 def _core_value(states: States, name: str, dtype: str) -> dict[str, Column]:
@@ -301,6 +295,114 @@ def _core_value(states: States, name: str, dtype: str) -> dict[str, Column]:
     }
 
 
+class CoreSummary:
+    """Summary of core profiles with some columns, in steps that can be taken at different times.
+
+    ``profiles`` aggregates level rows to one row of states per profile. ``merged`` brings the
+    states of one profile from several runs together, and ``summary`` merges profiles to groups.
+    """
+
+    def __init__(
+        self, types: dict[str, str], order: list[str], columns: list[str] | None = None,
+        default_date: str | None = None, partition_columns: list[str] | None = None,
+        threshold: float = MIXED_LAYER_THRESHOLD, hot_rows: int = LIST_ROWS,
+    ):
+        names = list(types)
+        self.pres, self.temp = find_column(names, "PRES"), find_column(names, "TEMP")
+        self.juld, self.default_date, self.hot_rows = find_column(names, "JULD"), default_date, hot_rows
+        extra = partition_columns or []
+        has_date = self.juld is not None or default_date is not None
+        platform, cycle = find_column(names, "PLATFORM_NUMBER"), find_column(names, "CYCLE_NUMBER")
+        self.counted = None not in (platform, cycle, self.pres)
+        keys = core_grouping_columns(
+            [*names, *(["n_levels"] if self.counted else []), *(["DATE"] if has_date else [])]
+        )
+        row_keys = [k for k in keys if k != "n_levels"]
+        # Levels are counted per profile, and the count is a key of the groups.
+        self.profile_keys = list(dict.fromkeys([*extra, *row_keys, *(n_levels_keys(names) if self.counted else [])]))
+        self.keys = [*extra, *keys]
+
+        skipped = {*keys, *extra}
+        others = [
+            c for c in (columns or names)
+            if c not in skipped and c.upper() not in CORE_SKIPPED
+            and (columns is not None or c not in order)
+        ]
+        numbered = len(order) == 1 and types[order[0]] in WHOLE
+        self.states = States(order, numbered, mergeable=self.counted)
+        self.points = States([], prefix="points")
+        p = F.col(self.pres).try_cast("double") if self.pres else F.lit(None).cast("double")
+        t = F.col(self.temp).try_cast("double") if self.temp else F.lit(None).cast("double")
+        self.layered = self.pres is not None and self.temp is not None
+        self.layer = layer_state(self.points, p, t, "core", threshold) if self.layered else F.lit(None).cast("double")
+        self.n_levels = F.count_if(valid_pressure(p)).alias("n_levels")
+        self.row_count = self.states.count("rows")
+        self.values: dict[str, Column] = {
+            "row_count": self.row_count,
+            "surface_temp_avg_C": surface_temp_state(self.states, p, t),
+        }
+        low, high, mean = depth_states(self.states, p, "core")
+        self.values.update({"min_DEPTH_m": low, "max_DEPTH_m": high, "avg_DEPTH_m": mean})
+        for name in others:
+            self.values.update(_core_value(self.states, name, types[name]))
+
+    def _rows(self, df: DataFrame) -> DataFrame:
+        df = _present(df)
+        if self.juld is not None:
+            df = df.withColumn("DATE", F.to_date(self.juld))
+        elif self.default_date is not None:
+            df = df.withColumn("DATE", F.lit(self.default_date).cast("date"))
+        return df.where(~any_null(self.profile_keys))
+
+    def _lists(self, rows: DataFrame) -> DataFrame:
+        """Level counts and points of every profile."""
+        levels = _points(rows, self.profile_keys, self.pres, self.temp)
+        lists = self.points.in_chunks(levels, self.profile_keys, self.hot_rows, self.n_levels)
+        return self.points.merged(lists, self.profile_keys, F.sum("n_levels").alias("n_levels"))
+
+    def profiles(self, df: DataFrame) -> DataFrame:
+        """All states of every profile, with its level count if levels can be counted."""
+        rows = self._rows(df)
+        profiles = self.states.per_group(rows, self.profile_keys, *([self.n_levels] if self.counted else []))
+        if not self.layered:
+            return profiles
+        if self.counted:
+            return profiles.join(self._lists(rows).drop("n_levels"), self.profile_keys)
+        return profiles.join(self.points.grouped(_points(rows, self.profile_keys, self.pres, self.temp), self.profile_keys, self.hot_rows), self.profile_keys)
+
+    def merged(self, parts: DataFrame) -> DataFrame:
+        """Profiles whose levels came with several runs, from the states of each."""
+        count = [F.sum("n_levels").alias("n_levels")] if self.counted else []
+        whole = self.states.merged(parts, self.profile_keys, *count)
+        return whole.join(self.points.merged(parts, self.profile_keys), self.profile_keys) if self.layered else whole
+
+    def summary(self, profiles: DataFrame, lists: DataFrame | None = None) -> DataFrame:
+        """Groups of the profiles; ``lists`` may hold the points apart."""
+        layer = self.layer
+        if not self.counted:
+            groups = profiles
+        else:
+            groups = self.states.merged(profiles, self.keys)
+            if self.layered:
+                points = self.points.in_slices(profiles if lists is None else lists, self.profile_keys, self.keys)
+                groups, layer = groups.join(points.select(*self.keys, layer.alias(LAYER)), self.keys), F.col(LAYER)
+        head = [*self.keys, *([] if self.counted else ["n_levels"]), "row_count",
+                "surface_temp_avg_C", "mixed_layer_depth_m"]
+        return groups.select(
+            *self.keys,
+            *([] if self.counted else [self.row_count.alias("n_levels")]),
+            layer.alias("mixed_layer_depth_m"),
+            *[value.alias(name) for name, value in self.values.items()],
+        ).select(*head, *[name for name in self.values if name not in head])
+
+    def of_levels(self, df: DataFrame) -> DataFrame:
+        """Summary straight from level rows: nothing is joined before the groups."""
+        if not (self.counted and self.layered):
+            return self.summary(self.profiles(df))
+        rows = self._rows(df)
+        return self.summary(self.states.per_group(rows, self.profile_keys, self.n_levels), self._lists(rows))
+
+
 def summarize_core(
     df: DataFrame,
     order: list[str],
@@ -308,7 +410,7 @@ def summarize_core(
     default_date: str | None = None,
     partition_columns: list[str] | None = None,
     threshold: float = MIXED_LAYER_THRESHOLD,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = LIST_ROWS,
     keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Summary of core profiles.
@@ -320,97 +422,8 @@ def summarize_core(
 
     ``default_date`` dates the rows when the input has no JULD column.
     ``partition_columns`` (such as year and month) are extra keys: each partition is
-    summarised by itself. ``keep`` writes the profile states (one row per profile) and
-    reads them back: summary and mixed layer then share them, and the levels are read
-    twice instead of three times.
+    summarised by itself. ``keep`` writes the profile states (one row per profile) and reads
+    them back, so that the groups come from what was written.
     """
-    names = df.columns
-    pres, temp = find_column(names, "PRES"), find_column(names, "TEMP")
-    juld = find_column(names, "JULD")
-    extra = partition_columns or []
-    df = _present(df)
-    if juld is not None:
-        df = df.withColumn("DATE", F.to_date(juld))
-    elif default_date is not None:
-        df = df.withColumn("DATE", F.lit(default_date).cast("date"))
-    has_date = juld is not None or default_date is not None
-
-    platform = find_column(names, "PLATFORM_NUMBER")
-    cycle = find_column(names, "CYCLE_NUMBER")
-    counted = None not in (platform, cycle, pres)
-    keys = core_grouping_columns(
-        [*names, *(["n_levels"] if counted else []), *(["DATE"] if has_date else [])]
-    )
-    row_keys = [k for k in keys if k != "n_levels"]
-    fine_keys = list(dict.fromkeys([*extra, *row_keys, *(n_levels_keys(names) if counted else [])]))
-    rows = df.where(~any_null(fine_keys))
-
-    skipped = {*keys, *extra}
-    others = [
-        c for c in (columns or names)
-        if c not in skipped and c.upper() not in CORE_SKIPPED
-        and (columns is not None or c not in order)
-    ]
-    types = dict(df.dtypes)
-
-    states = States(order, is_row_number(rows, order), mergeable=counted)
-    p = F.col(pres).try_cast("double") if pres else F.lit(None).cast("double")
-    t = F.col(temp).try_cast("double") if temp else F.lit(None).cast("double")
-    row_count = states.count("rows")
-    values: dict[str, Column] = {
-        "row_count": row_count,
-        "surface_temp_avg_C": surface_temp_state(states, p, t),
-    }
-    low, high, mean = depth_states(states, p, "core")
-    values.update({"min_DEPTH_m": low, "max_DEPTH_m": high, "avg_DEPTH_m": mean})
-    for name in others:
-        values.update(_core_value(states, name, types[name]))
-    reference = None if pres is None or temp is None else reference_state(states, p, t, "core")
-    if counted:
-        # The level count is a key of the merge, so it is kept beside the states.
-        count = F.count_if(valid_pressure(p)).alias("n_levels")
-        profiles = states.per_group(rows, fine_keys, count)
-        profiles = profiles if keep is None else keep(profiles)
-    else:
-        profiles = states.per_group(rows, fine_keys)
-    out_keys = [*extra, *keys]
-    summary = (states.merged(profiles, out_keys) if counted else profiles).select(
-        *out_keys,
-        *([] if counted else [row_count.alias("n_levels")]),
-        *[value.alias(name) for name, value in values.items()],
-    )
-
-    if pres is None or temp is None:
-        layered = summary.withColumn("mixed_layer_depth_m", F.lit(None).cast("double"))
-    else:
-        layers = _core_layers(
-            rows, profiles, states, row_count, reference, fine_keys, out_keys, order, pres, temp,
-            counted, threshold, hot_rows,
-        )
-        layered = summary.join(layers, out_keys, "left")
-    head = [*out_keys, *([] if counted else ["n_levels"]), "row_count",
-            "surface_temp_avg_C", "mixed_layer_depth_m"]
-    return layered.select(*head, *[name for name in values if name not in head])
-
-
-def _core_layers(
-    rows: DataFrame, profiles: DataFrame, states: States, size: Column, reference: Column,
-    fine_keys: list[str], out_keys: list[str], order: list[str], pres: str, temp: str,
-    counted: bool, threshold: float, hot_rows: int,
-) -> DataFrame:
-    levels = rows.select(*dict.fromkeys([*fine_keys, *order, pres, temp])).withColumns(
-        {pres: F.col(pres).try_cast("double"), temp: F.col(temp).try_cast("double")}
-    )
-    if counted:
-        groups = states.merged(profiles, out_keys, F.count(F.lit(1)).alias("_profiles")).select(
-            *out_keys, "_profiles", reference.alias(REFERENCE)
-        )
-        sizes = profiles.select(*dict.fromkeys([*fine_keys, *out_keys]), size.alias(SIZE))
-        references = attach_groups(
-            sizes, groups, out_keys, [REFERENCE], "_profiles", fine_keys, hot_rows
-        )
-    else:
-        references = profiles.select(*fine_keys, size.alias(SIZE), reference.alias(REFERENCE))
-    return mixed_layer_by_group(
-        levels, references, fine_keys, out_keys, order, pres, temp, "core", threshold, hot_rows
-    )
+    plan = CoreSummary(dict(df.dtypes), order, columns, default_date, partition_columns, threshold, hot_rows)
+    return plan.of_levels(df) if keep is None else plan.summary(keep(plan.profiles(df)))

@@ -19,7 +19,7 @@ from floatlake.operators.readings import (
 )
 from floatlake.operators.regions import add_region_columns, has_region_columns
 from floatlake.operators.summary import (
-    core_grouping_columns, grouping_columns, prepare_bgc, prepare_core, summarize_bgc, summarize_core,
+    CoreSummary, core_grouping_columns, grouping_columns, prepare_bgc, prepare_core, summarize_bgc,
 )
 from floatlake.plans.increments import (
     finish_run, finished_runs, keep_pending, new_files, pending_paths, previous_run, read_manifest,
@@ -30,7 +30,7 @@ from floatlake.sources.csv import (
 )
 from floatlake.sources.profiles import read_profiles
 from floatlake.sources.sinks import write_by_month, write_counters, write_mirrored, write_partitioned, write_readings
-from floatlake.sources.tables import read_or_empty
+from floatlake.sources.tables import partition_values, read_or_empty
 
 PROFILE_IDS = ["file", "prof_idx"]
 #: Counter of the readings of each float type.
@@ -63,14 +63,15 @@ def bgc_summary(levels: DataFrame, rules: dict[str, str] | None = None) -> DataF
     return summarize_bgc(rows, ["row_no"], rules, partition_columns=["file"])
 
 
-def core_summary(
-    levels: DataFrame, order: list[str], default_date: str | None = None, keep=None
-) -> DataFrame:
+def core_plan(types: dict[str, str], order: list[str], default_date: str | None = None) -> CoreSummary:
+    """Monthly summary of level rows with these columns."""
+    return CoreSummary(types, order, default_date=default_date, partition_columns=["year", "month"])
+
+
+def core_summary(levels: DataFrame, order: list[str], default_date: str | None = None) -> DataFrame:
     """Level rows with year and month to labelled monthly summaries."""
-    summary = summarize_core(
-        prepare_core(levels), order, default_date=default_date, partition_columns=["year", "month"], keep=keep
-    )
-    return add_region_columns(summary, "core")
+    rows = prepare_core(levels)
+    return add_region_columns(core_plan(dict(rows.dtypes), order, default_date).of_levels(rows), "core")
 
 
 def _run_folder(out: str, table: str, run_id: int) -> str:
@@ -145,8 +146,9 @@ def run_core(
 ) -> dict[str, str]:
     """Core floats: daily CSV files to typed level rows and labelled monthly summaries.
 
-    A month with new files is summarised again from all its level rows of finished runs and
-    this one; other months are not read. Files outside <year>/<month>/ folders are listed as
+    Every run keeps the states of its profiles by month. A month with new files is summarised
+    again from the states of finished runs and this one: level rows of earlier runs are not read,
+    and other months are not touched. Files outside <year>/<month>/ folders are listed as
     rejects and not recorded: once moved, they are taken.
     """
     written, counts = {}, {}
@@ -173,20 +175,7 @@ def run_core(
         rejected.write.mode("overwrite").parquet(written["rejects"])
         counts["errors"] = seen.get["rows"]
     if "summary" in steps:
-        months = spark.read.parquet(own).select("year", "month").distinct().collect()
-        # Only folders of the touched months are opened.
-        folders = [f"{escaped(levels_path)}/run_id=*/year={m.year}/month={m.month}" for m in sorted(months)]
-        table = spark.read.option("basePath", levels_path).option("mergeSchema", "true").parquet(*folders)
-        current = spark.range(1).select(F.lit(run_id).cast("bigint").alias("run_id"))
-        runs = finished_runs(spark, f"{out}/manifest").unionByName(current)
-        rows = table.join(runs, "run_id", "left_semi").drop("run_id", "filename")
-
-        def keep(profiles: DataFrame) -> DataFrame:
-            path = _run_folder(out, "profiles", run_id)
-            profiles.write.mode("overwrite").parquet(path)
-            return spark.read.schema(profiles.schema).parquet(path)
-
-        summary = core_summary(rows, ROW_ORDER, default_date, keep)
+        summary = add_region_columns(monthly_groups(spark, out, run_id, default_date), "core")
         write_by_month(summary, f"{out}/summary", sort=core_grouping_columns(summary.columns))
         written["summary"] = f"{out}/summary"
     if "levels" in steps:
@@ -195,6 +184,50 @@ def run_core(
     return written
 
 
+def monthly_groups(spark: SparkSession, out: str, run_id: int, default_date: str | None = None) -> DataFrame:
+    """Summary of the months a run has rows in, from kept profile states.
+
+    States of runs whose files had other columns are merged too: a column that one run lacks has no
+    values there. Only if the columns that make up a profile differ, or a run has kept no
+    states, are its level rows of these months read again.
+    """
+    own = prepare_core(spark.read.parquet(_run_folder(out, "levels", run_id)).drop("filename"))
+    states_path = _run_folder(out, "profiles", run_id)
+    plan = core_plan(dict(own.dtypes), ROW_ORDER, default_date)
+    write_partitioned(plan.profiles(own), states_path, ["year", "month"], whole=True)
+    kept = spark.createDataFrame([(run_id, *x) for x in own.dtypes], "run_id bigint, name string, type string")
+    kept.coalesce(1).write.mode("overwrite").parquet(f"{out}/columns/of_run={run_id}")
+
+    months = sorted(spark.read.parquet(states_path).select("year", "month").distinct().collect())
+    runs = finished_runs(spark, f"{out}/manifest").where(F.col("run_id") != run_id)
+    # Names of folders tell which runs have rows in the touched months; no file is opened for that.
+    holding = {x for m in months for x in partition_values(spark, f"{out}/levels/run_id=*/year={m.year}/month={m.month}", "run_id")}
+    earlier = sorted(x["run_id"] for x in runs.where(F.col("run_id").isin(sorted(holding))).collect())
+    if not earlier:
+        return plan.summary(spark.read.parquet(states_path))
+    columns: dict[int, dict[str, str]] = {}
+    for x in spark.read.parquet(f"{out}/columns").where(F.col("run_id").isin([run_id, *earlier])).collect():
+        columns.setdefault(x["run_id"], {})[x["name"]] = x["type"]
+    types = {name: kind for own_types in columns.values() for name, kind in own_types.items()}
+    both = core_plan(types, ROW_ORDER, default_date)
+    plans = {x: core_plan(columns[x], ROW_ORDER, default_date) for x in columns}
+    same = set(plans) == {run_id, *earlier} and all((p.profile_keys, p.counted, p.layered) == (both.profile_keys, both.counted, both.layered) for p in plans.values())
+    if not same:
+        current = spark.range(1).select(F.lit(run_id).cast("bigint").alias("run_id"))
+        rows = _month_folders(spark, f"{out}/levels", months).join(runs.unionByName(current), "run_id", "left_semi").drop("run_id", "filename")
+        rows = prepare_core(rows)
+        return core_plan(dict(rows.dtypes), ROW_ORDER, default_date).of_levels(rows)
+    chosen = spark.range(1).select(F.explode(F.array(*[F.lit(x).cast("bigint") for x in (run_id, *earlier)])).alias("run_id"))
+    states = _month_folders(spark, f"{out}/profiles", months).join(F.broadcast(chosen), "run_id", "left_semi").drop("run_id")
+    return both.summary(both.merged(states))
+
+
+def _month_folders(spark: SparkSession, table: str, months: list) -> DataFrame:
+    """Rows of some months, of all runs."""
+    folders = [f"{escaped(table)}/run_id=*/year={m.year}/month={m.month}" for m in months]
+    return spark.read.option("basePath", table).option("mergeSchema", "true").parquet(*folders)
+
+
 def tag_summaries(spark: SparkSession, source: str, target: str, mode: str = "core") -> bool:
     """Write a summary table with its labels to ``target``; False if it has them already.
 

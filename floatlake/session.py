@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Lists of points are gathered by hashing up to so many profiles a task; beyond it Spark sorts.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     # Recording a call site for every column expression takes longer than planning.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

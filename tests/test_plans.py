@@ -42,11 +42,23 @@ def test_small_grid_moves_no_points(spark):
     assert "BroadcastHashJoin" in scan
 
 
-def test_metrics_share_one_aggregation(spark):
+@pytest.mark.parametrize("name, scans", [
+    ("profile_metrics", 1), ("mixed_layer_depth_bgc", 1), ("mixed_layer_depth_core", 1),
+    ("summary_core", 2), ("summary_core_tagged", 2), ("summary_bgc", 2),
+])
+def test_levels_are_looked_at_once(spark, name, scans):
+    """Though the mixed layer's reference is known last; summaries look a second time at its columns alone."""
+    text = plan(Q.QUERIES[name](spark, SF))
+    assert text.count("FileScan") == scans and text.count("Join") == scans - 1
+    if scans == 1:
+        assert "SortAggregate" not in text
+
+
+def test_level_counts_share_one_aggregation(spark):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = final_plan(Q.profile_metrics(spark, SF))
+        text = final_plan(Q.n_levels(spark, SF))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # The branches for large and ordinary groups share one aggregation, and the branch
