@@ -41,6 +41,14 @@ SELECT c_custkey AS pid,
             ELSE CAST((c_custkey * 91) % 721 AS DOUBLE) / 2 - 180 END AS lon
 FROM customer
 """
+# Rings of vertices for each nation: a shape with a notch, and every second one with a hole.
+POLYGON_VERTICES = " UNION ALL ".join(f"""
+SELECT n_nationkey AS prio, n_name AS name, {ring} AS ring, {place} AS place,
+       CAST((n_nationkey * 37) % 120 - 60 + ({dlat}) * (3 + n_nationkey % 5) AS DOUBLE) AS lat,
+       CAST((n_nationkey * 71) % 280 - 140 + ({dlon}) * (4 + n_nationkey % 7) AS DOUBLE) AS lon
+FROM nation WHERE {ring} = 0 OR n_nationkey % 2 = 0""" for ring, shape in enumerate([
+    [(-4, -4), (-4, 4), (0, 2), (4, 4), (3, 0), (4, -4)], [(-2, -2), (-2, 1), (1, 1), (1, -2)],
+]) for place, (dlat, dlon) in enumerate(shape))
 # Identifiers that repeat or are missing; rid tells the rows apart.
 POINTS_REPEATED = f"""
 SELECT pid AS rid, CASE WHEN pid % 5 = 0 THEN NULL ELSE pid % 7 END AS pid, lat, lon FROM ({POINTS}) points

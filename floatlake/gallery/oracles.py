@@ -157,6 +157,21 @@ SELECT platform_number, float_serial_no, cycle_number, n_levels, {_DAY}, surface
 FROM g LEFT JOIN layer USING ({keys}) JOIN tagged USING ({keys})"""
 
 
+def _polygons(border: bool) -> str:
+    inside = "odd OR on_edge" if border else "odd AND NOT on_edge"
+    return f"""WITH p AS ({A.POINTS}), v AS ({A.POLYGON_VERTICES}), e AS (
+  SELECT prio, name, lat AS y1, lon AS x1, coalesce(lead(lat) OVER ring, first_value(lat) OVER ring) AS y2,
+    coalesce(lead(lon) OVER ring, first_value(lon) OVER ring) AS x2
+  FROM v WINDOW ring AS (PARTITION BY prio, v.ring ORDER BY place)
+), met AS (
+  SELECT pid, prio, name, count(*) FILTER (WHERE (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1) % 2 = 1 AS odd,
+    bool_or((x2 - x1) * (lat - y1) = (y2 - y1) * (lon - x1) AND lat BETWEEN least(y1, y2) AND greatest(y1, y2)
+      AND lon BETWEEN least(x1, x2) AND greatest(x1, x2)) AS on_edge
+  FROM p CROSS JOIN e WHERE lon IS NOT NULL GROUP BY pid, prio, name
+), first_hit AS (SELECT pid, arg_min(name, prio) AS name FROM met WHERE {inside} GROUP BY pid)
+SELECT p.pid, coalesce(name, 'Unknown') AS region FROM p LEFT JOIN first_hit f ON p.pid = f.pid"""
+
+
 def _region(mode: str) -> str:
     return f"WITH p AS ({A.POINTS}), {_regions(mode, 'p', 'pid')} SELECT pid, region FROM tagged"
 
@@ -294,6 +309,9 @@ GROUP BY {_KEYS}""",
         "region_open": _region("open"),
         "region_grid": _region("closed"),
         "region_grid_shuffled": _region("closed"),
+        "region_polygons": _polygons(False),
+        "region_polygons_shuffled": _polygons(False),
+        "region_polygons_border": _polygons(True),
         "region_grid_duplicates": f"""WITH p AS ({A.POINTS_REPEATED}), {_regions('closed', 'p', 'rid')}
 SELECT form, pid, lat, lon, region FROM p JOIN tagged USING (rid), (VALUES ('broadcast'), ('shuffled')) forms(form)""",
         "ocean_boxes": _ocean(_OCEAN_BOXES),

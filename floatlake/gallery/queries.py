@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from floatlake import functions as fl
 from floatlake.gallery import adapters as A
 from floatlake.operators import (
-    cleaning, flatten, index, profile, quality, readings, regions, summary,
+    cleaning, flatten, index, polygons, profile, quality, readings, regions, summary,
 )
 from floatlake.plans import flows, increments
 from floatlake.sources import csv
@@ -150,6 +150,13 @@ def _region_grid(pairs):
     return query
 
 
+def _polygons(border, pairs=1_000_000):
+    def query(spark, sf):
+        vertices = adapted(spark, sf, A.POLYGON_VERTICES)
+        return polygons.assign_polygons(points(spark, sf), vertices, border=border, max_broadcast_pairs=pairs, points_per_task=20).select("pid", "region")
+    return query
+
+
 def region_grid_duplicates(spark, sf):
     rows, boxes = adapted(spark, sf, A.POINTS_REPEATED), regions.region_boxes(spark)
     forms = [
@@ -516,6 +523,9 @@ QUERIES = {
     "region_grid": _region_grid(1_000_000),
     "region_grid_shuffled": _region_grid(0),
     "region_grid_duplicates": region_grid_duplicates,
+    "region_polygons": _polygons(False),
+    "region_polygons_shuffled": _polygons(False, 0),
+    "region_polygons_border": _polygons(True),
     "ocean_boxes": _ocean("boxes"),
     "ocean_chain": _ocean("chain"),
     "region_share": region_share,
