@@ -16,17 +16,23 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from floatlake.llm.common import blocks, free_name, record_batch
+from floatlake.llm.common import Workspace, blocks, free_name, record_batch
 
 #: Embedding positions sampled for one key.
 SAMPLED = 5
-#: Share of embedding positions by which a window with few edits is taken to differ.
-DIFFERING = 0.4
 RECALL = 0.95
 #: Independent walks that the repetitions are dealt to: an edit that throws one off may not throw off the next.
 WALKS = 4
-#: Text of the items whose index is broadcast at once; more items are searched in further passes.
-ITEM_BYTES = 8 << 20
+#: Sizes of windows: an item gets the largest of which it is WINDOWS times as long. So it holds several at any
+#: stride, and edits of a share of its words leave one of them with fewer.
+SIZES = (1, 2, 3, 4, 6, 8, 12, 16)
+WINDOWS = 2.5
+#: The best window of an item differs from its copy's in about so many times the share of edited words.
+DRIFT = 1.5
+#: Memory of an index that is broadcast at once; more items are searched in further passes.
+ITEM_BYTES = 64 << 20
+#: Bytes of a key in the index, with the number of its window.
+KEY_BYTES = 12
 #: Largest share of an item's words that may be edited.
 MAX_EDITS = 0.2
 
@@ -43,22 +49,18 @@ def words_of(text: str | None) -> list[str]:
 
 
 def window_length(words: int) -> int:
-    """The largest of 1, 2, 3, 4, 6, 8, 12, 16, ... so that a window at some stride lies in an item."""
-    length = 1
-    while True:
-        longer = length * 3 // 2 if length & (length - 1) == 0 and length > 1 else 1 << length.bit_length()
-        if longer + stride(longer) - 1 > words:
-            return length
-        length = longer
+    """Size of the windows of an item: its share of the item stays the same, up to the largest of SIZES."""
+    return max(x for x in SIZES if x == 1 or x * WINDOWS <= words)
 
 
 def stride(length: int) -> int:
     return max(1, length // 2)
 
 
-def repetitions(recall: float, sampled: int = SAMPLED, differing: float = DIFFERING) -> int:
-    """Keys per window so that one agrees with probability `recall`."""
-    return math.ceil(math.log(1 - recall) / math.log(1 - (1 - differing) ** sampled))
+def repetitions(recall: float, max_edits: float = MAX_EDITS, sampled: int = SAMPLED) -> int:
+    """Keys per window so that one of an item's best window agrees with probability `recall`."""
+    same = (1 - min(0.9, DRIFT * max_edits)) ** sampled
+    return math.ceil(math.log(1 - recall) / math.log(1 - same)) if same < 1 else 1
 
 
 def edit_end(item: list[int], words: list[int]) -> tuple[int, int]:
@@ -94,14 +96,15 @@ def edit_end(item: list[int], words: list[int]) -> tuple[int, int]:
 
 @dataclass
 class _Keys:
-    """Sorted keys of one window length, with the item and the offset in it each stands for."""
+    """Windows of one length, by item and offset in it; for each repetition their sorted keys and which window each is."""
 
     length: int
     picks: np.ndarray
     turns: np.ndarray
+    items: np.ndarray
+    offsets: np.ndarray
     keys: list[np.ndarray]
-    items: list[np.ndarray]
-    offsets: list[np.ndarray]
+    rows: list[np.ndarray]
     seen: list[np.ndarray]
 
 
@@ -129,34 +132,37 @@ class ItemIndex:
         for i, (_, codes) in enumerate(self.items):
             by_length.setdefault(window_length(len(codes)), []).append(i)
         for length, members in sorted(by_length.items()):
-            self.classes.append(self._class(length, members, repetitions(recall)))
+            self.classes.append(self._class(length, members, repetitions(recall, max_edits)))
 
     def _class(self, length: int, members: list[int], repeats: int) -> _Keys:
         rng = np.random.default_rng(1000 + length)
         steps = 2 * length
         turns = rng.integers(0, 2, (WALKS, steps, 256), dtype=np.uint8)
         picks = np.sort(np.array([rng.choice(steps, min(SAMPLED, steps), replace=False) for _ in range(repeats)]), axis=1)
-        entry = _Keys(length, picks, turns, [], [], [], [])
         codes, starts, items, offsets, base = [], [], [], [], 0
         for i in members:
             own = self.items[i][1]
-            for offset in range(min(stride(length), len(own) - length + 1)):
-                starts.append(base + offset)
-                items.append(i)
-                offsets.append(offset)
+            # A text is searched at every stride, and any window of an item can be the one its copy has there.
+            n = len(own) - length + 1
+            starts.append(np.arange(base, base + n))
+            items.append(np.full(n, i, np.int32))
+            offsets.append(np.arange(n, dtype=np.int32))
             codes += own
             base += len(own)
-        items, offsets = np.array(items, np.int64), np.array(offsets, np.int64)
-        for keys in self._window_keys(entry, self.symbols[np.array(codes)], np.array(starts, np.int64)):
+        entry = _Keys(length, picks, turns, np.concatenate(items), np.concatenate(offsets), [], [], [])
+        for keys in self._window_keys(entry, self.symbols[np.array(codes)], np.concatenate(starts)):
             order = np.argsort(keys, kind="stable")
             seen = np.zeros(1 << 16, bool)
             seen[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
             entry.keys.append(keys[order])
-            entry.items.append(items[order])
-            entry.offsets.append(offsets[order])
+            entry.rows.append(order.astype(np.int32))
             entry.seen.append(seen)
         return entry
 
+    def bytes(self) -> int:
+        """Memory of the keys."""
+        return sum(x.nbytes for entry in self.classes for part in (entry.keys, entry.rows, [entry.items, entry.offsets]) for x in part)
+
     @staticmethod
     def _window_keys(entry: _Keys, symbols: np.ndarray, starts: np.ndarray) -> Iterator[np.ndarray]:
         """For each repetition the key of every window."""
@@ -211,20 +217,25 @@ class ItemIndex:
                 hi = np.searchsorted(entry.keys[r], keys[maybe], "right")
                 for k in np.flatnonzero(hi > lo).tolist():
                     w = maybe[k]
-                    for e in range(lo[k], hi[k]):
-                        tries.add((int(text_of[w]), int(entry.items[r][e]), int(starts[w] - entry.offsets[r][e])))
+                    for e in entry.rows[r][lo[k] : hi[k]].tolist():
+                        tries.add((int(text_of[w]), int(entry.items[e]), int(starts[w] - entry.offsets[e])))
             found += self._verify(sorted(tries), joined, firsts, ends)
         return found
 
     def _verify(self, tries, joined, firsts, ends) -> Iterator[tuple[int, int, int, int, int]]:
-        last = None
+        """Exact check of places, near ones of an item together."""
+        last = checked = None
         for text, item, start in tries:
-            if (text, item) == last:
-                continue
             own = self.items[item][1]
             allowed = int(self.max_edits * len(own))
-            a = max(start - allowed, int(firsts[text]))
-            b = min(start + len(own) + allowed, int(ends[text]))
+            # One check covers the starts of a stretch as long as the edits can shift a place.
+            place = text, item, start // (allowed + 1)
+            if (text, item) == last or place == checked:
+                continue
+            checked = place
+            first = place[2] * (allowed + 1)
+            a = max(first - allowed, int(firsts[text]))
+            b = min(first + 2 * allowed + len(own), int(ends[text]))
             part = joined[a:b].tolist()
             distance, end = edit_end(own, part)
             if distance <= allowed:
@@ -253,16 +264,22 @@ def _search(shared):
 
 def item_indexes(
     items: DataFrame, item_id: str = "item_id", item_text: str = "text", max_edits: float = MAX_EDITS, recall: float = RECALL
-) -> Iterator[Broadcast]:
-    """Broadcast indexes of the items, each over at most about ITEM_BYTES of text; at least one."""
+) -> Iterator[tuple[Broadcast, bool]]:
+    """Broadcast indexes of the items, each of at most about ITEM_BYTES, and whether it is the only one; at least one.
+
+    Of several only one is alive: an index goes when the next is asked for.
+    """
     spark = items.sparkSession
     chosen = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("x")).filter("x is not null")
-    size = chosen.agg(F.sum(F.octet_length("x"))).first()[0] or 0
-    passes = max(1, math.ceil(1.5 * size / ITEM_BYTES))
+    words = chosen.agg(F.sum(F.regexp_count("x", F.lit(r"[\p{L}\p{N}]+")))).first()[0] or 0
+    passes = max(1, math.ceil(1.25 * words * (repetitions(recall, max_edits) * KEY_BYTES + 8) / ITEM_BYTES))
     for number in range(passes):
         own = chosen.filter(F.pmod(F.xxhash64("i", "x"), F.lit(passes)) == number).collect()
         rows = sorted(((row.i, row.x) for row in own), key=lambda x: (x[0] is not None, x))
-        yield spark.sparkContext.broadcast(ItemIndex(rows, recall, max_edits))
+        index = spark.sparkContext.broadcast(ItemIndex(rows, recall, max_edits))
+        yield index, passes == 1
+        if passes > 1:
+            index.destroy()
 
 
 def leaked_items(
@@ -276,13 +293,18 @@ def leaked_items(
     one place per row and item is returned. Null and empty texts and items match nothing;
     repeated rows and items count each; a null id stays null; empty tables give no row.
 
-    The items are the query set. They are indexed in blocks of at most ITEM_BYTES of text, each
-    block broadcast and held against all documents, so neither side is shuffled.
+    The items are the query set. They are indexed in blocks of at most ITEM_BYTES, each
+    block broadcast and held against all documents, so neither side is shuffled. With several
+    blocks the finds of each are written before the next is made.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("did"), F.col(text_column).cast("string").alias("text"))
     found: DataFrame | None = None
-    for index in item_indexes(items, item_id, item_text, max_edits, recall):
+    workspace = None
+    for index, alone in item_indexes(items, item_id, item_text, max_edits, recall):
         part = texts.mapInArrow(_search(index), "did long, item_id long, distance long, item_words long, first_word long, last_word long")
+        if not alone:
+            workspace = workspace or Workspace(docs.sparkSession, "leaks")
+            part = workspace.save(part, f"block{index._jbroadcast.id()}")
         found = part if found is None else found.unionByName(part)
     return found.withColumnRenamed("did", "doc_id")
 
@@ -290,14 +312,23 @@ def leaked_items(
 def clean_documents(
     docs: DataFrame, items: DataFrame, text_column: str = "text", max_edits: float = MAX_EDITS, recall: float = RECALL
 ) -> DataFrame:
-    """The rows of `docs` with no item in their text, with all their columns; a null text stays."""
-    flagged, column, names = docs, F.col(text_column).cast("string"), []
-    for index in item_indexes(items, max_edits=max_edits, recall=recall):
-        names.append(free_name(flagged, f"leak{len(names)}"))
-        flagged = flagged.withColumn(names[-1], _leaks(index)(column))
-    for name in names:
-        flagged = flagged.filter(~F.col(name))
-    return flagged.select(*docs.columns)
+    """The rows of `docs` with no item in their text, with all their columns; a null text stays.
+
+    With several blocks of items, the hashes of the texts that a block finds are written, and rows
+    of those texts go.
+    """
+    column = F.col(text_column).cast("string")
+    workspace, leaking = None, None
+    keys = {free_name(docs, "leak1"): F.xxhash64(column), free_name(docs, "leak2"): F.xxhash64(F.lit(1), column)}
+    for index, alone in item_indexes(items, max_edits=max_edits, recall=recall):
+        if alone:
+            name = free_name(docs, "leak")
+            return docs.withColumn(name, _leaks(index)(column)).filter(~F.col(name)).select(*docs.columns)
+        workspace = workspace or Workspace(docs.sparkSession, "leaks")
+        part = docs.filter(_leaks(index)(column)).select(*(x.alias(name) for name, x in keys.items())).distinct()
+        part = workspace.save(part, f"block{index._jbroadcast.id()}")
+        leaking = part if leaking is None else leaking.unionByName(part)
+    return docs.withColumns(keys).join(leaking, list(keys), "left_anti").select(*docs.columns)
 
 
 def _leaks(shared: Broadcast):
