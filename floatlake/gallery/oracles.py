@@ -382,6 +382,12 @@ FROM (SELECT o_orderkey, o_custkey % 50 AS bucket, min(o_orderkey) OVER w AS fir
         "readings_by_parameter_month": f"SELECT event_id, float_id, parameter_name, value, strftime(juld_date, '%Y-%m-%d') AS juld_date, juld_time FROM ({A.READINGS}) WHERE parameter_name = 'purchase' AND juld_date BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'",
         "floats_by_attribute": f"SELECT float_id, float_type, profiler_type, institution, strftime(last_reading_date, '%Y-%m-%d') AS last_reading_date FROM ({A.METADATA}) WHERE float_type = 'BCG' AND institution = 'BUILDING' AND last_reading_date >= DATE '2024-03-01'",
         "floats_with_column": f"{_META} SELECT {_META_COLUMNS} FROM m WHERE list_contains(string_split(all_columns, '|'), 'project_name')",
+        "floats_with_columns": f"""WITH {_cleaned(A.DIRTY, 'c')}, {_metadata('c', 'm')},
+{_cleaned(A.DIRTY_LATER, 'c2')}, {_metadata('c2', 'm2')}, now AS (
+  SELECT coalesce(m.float_id, m2.float_id) AS float_id, CASE WHEN m2.float_id IS NULL THEN m.all_columns ELSE m2.all_columns END AS all_columns
+  FROM m FULL JOIN m2 ON m.float_id = m2.float_id
+)
+SELECT float_id FROM now WHERE list_contains(string_split(all_columns, '|'), 'project_name') AND list_contains(string_split(all_columns, '|'), 'date_update')""",
         "quality_violations": f"""WITH m AS ({A.METADATA}), r AS ({A.READINGS})
 SELECT 'duplicate' AS rule, float_id FROM m WHERE float_type = 'BCG'
 UNION ALL SELECT 'type', float_id FROM m WHERE float_type IS NULL OR float_type NOT IN ('BCG', 'NON-BCG')

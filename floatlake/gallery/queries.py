@@ -448,6 +448,19 @@ def floats_by_attribute(spark, sf):
     return found.withColumn("last_reading_date", day("last_reading_date"))
 
 
+def floats_with_columns(spark, sf):
+    """Floats that have two columns after two loads, from the postings of each."""
+    first = readings.float_metadata(_cleaned(spark, sf), ["rn"])
+    later = cleaning.clean_table(adapted(spark, sf, A.DIRTY_LATER), ["filename", "path"])
+    later = readings.float_metadata(readings.resolve_float_id(later, ["rn"]), ["rn"])
+    loads = [readings.upsert_metadata(first.limit(0), first), readings.upsert_metadata(first.limit(0), later)]
+    postings = [
+        readings.column_postings(before, after).withColumn("seq", F.lit(seq).cast("bigint"))
+        for seq, (before, after) in enumerate([(loads[0].limit(0), loads[0]), loads])
+    ]
+    return readings.floats_with_columns(postings[0].unionByName(postings[1]), ["project_name", "date_update"])
+
+
 def floats_with_column(spark, sf):
     found = readings.floats_with_column(
         readings.float_metadata(_cleaned(spark, sf), ["rn"]), "project_name"
@@ -561,6 +574,7 @@ QUERIES = {
     "readings_by_parameter_month": readings_by_parameter_month,
     "floats_by_attribute": floats_by_attribute,
     "floats_with_column": floats_with_column,
+    "floats_with_columns": floats_with_columns,
     "quality_violations": quality_violations,
     "orphan_readings": orphan_readings,
     "cascade_delete": cascade_delete,

@@ -266,6 +266,32 @@ def floats_with_column(metadata: DataFrame, column: str) -> DataFrame:
     return metadata.where(F.array_contains("all_columns", column))
 
 
+def column_postings(before: DataFrame, after: DataFrame) -> DataFrame:
+    """`column, float_id, present` for what a load changes: columns its floats have now, and those they had.
+
+    ``before`` is metadata without the load and ``after`` the load's own: a float takes its columns
+    from the latest load. Only floats of the load move.
+    """
+    def listed(metadata: DataFrame) -> DataFrame:
+        return metadata.select(F.explode(F.array_distinct("all_columns")).alias("column"), "float_id").distinct()
+
+    now = listed(after)
+    touched = before.join(after.select("float_id").distinct(), "float_id", "left_semi")
+    lost = listed(touched).join(now, ["column", "float_id"], "left_anti")
+    return now.withColumn("present", F.lit(True)).unionByName(lost.withColumn("present", F.lit(False)))
+
+
+def floats_with_columns(postings: DataFrame, columns: list[str]) -> DataFrame:
+    """`float_id` of the floats that have all the columns, from postings with ``seq`` (the latest counts).
+
+    Postings stored by column are read for these columns only; the metadata is not read.
+    """
+    wanted = sorted(set(columns))
+    latest = postings.where(F.col("column").isin(wanted)).groupBy("column", "float_id").agg(F.max_by("present", "seq").alias("present"))
+    held = latest.where("present").groupBy("float_id").agg(F.count(F.lit(1)).alias("_n"))
+    return held.where(F.col("_n") == len(wanted)).select("float_id")
+
+
 def delete_floats(readings: DataFrame, metadata: DataFrame, deleted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(readings, metadata) without the deleted floats and everything read from them.
 

@@ -15,12 +15,13 @@ from floatlake.operators.index import (
 )
 from floatlake.operators.quality import average_columns, observe_rows, split_rejects
 from floatlake.operators.readings import (
-    date_problem, float_metadata, resolve_float_id, to_readings, upsert_metadata,
+    column_postings, date_problem, float_metadata, floats_with_columns, resolve_float_id, to_readings, upsert_metadata,
 )
 from floatlake.operators.regions import add_region_columns, has_region_columns
 from floatlake.operators.summary import (
     CoreSummary, core_grouping_columns, grouping_columns, prepare_bgc, prepare_core, summarize_bgc,
 )
+from floatlake.plans.buckets import BUCKETS, BucketTable
 from floatlake.plans.increments import (
     finish_run, finished_runs, keep_pending, new_files, pending_paths, previous_run, read_manifest,
 )
@@ -262,7 +263,7 @@ def load_tables(clean: DataFrame, order: list[str], mode: str = "row") -> tuple[
 def run_load(
     spark: SparkSession, roots: str | list[str], out: str, run_id: int, mode: str = "row",
     steps: tuple[str, ...] = ("clean", "load"), files: DataFrame | None = None,
-    stable_ids: bool = True,
+    stable_ids: bool = True, buckets: int = 0,
 ) -> dict[str, str]:
     """Dirty CSV trees to cleaned rows, long readings and float metadata.
 
@@ -270,7 +271,9 @@ def run_load(
     only what they need of that. Rows whose date or time cannot be read are kept apart
     with the reason. ``files`` (``path``) replaces the search; files in the manifest are
     left out of it too. ``stable_ids`` gives a file's readings the same ids in every run
-    (see number_rows).
+    (see number_rows). Each run writes the float metadata as a whole, or, with ``buckets``, only the
+    hash buckets its floats lie in (see buckets.py; read it with read_metadata). Which
+    columns a float has gained or lost is kept by column (see floats_having).
     """
     written, counts = {}, {}
     manifest, clean_path = f"{out}/manifest", _run_folder(out, "clean", run_id)
@@ -300,14 +303,27 @@ def run_load(
         counted = [F.count_if(F.col("float_type") == kind).alias(name) for kind, name in READING_COUNTS.items()]
         write_readings(readings.observe(by_type, *counted), readings_path, "overwrite")
         counts |= by_type.get
-        before = previous_run(spark, manifest, run_id)
-        existing = (
-            spark.createDataFrame([], METADATA_SCHEMA) if before is None
-            else spark.read.schema(METADATA_SCHEMA).parquet(_run_folder(out, "metadata", before))
-        )
-        metadata_path = _run_folder(out, "metadata", run_id)
-        upsert_metadata(existing, metadata).write.mode("overwrite").parquet(metadata_path)
-        counts |= average_columns(spark.read.parquet(metadata_path)).first().asDict()
+        postings_path = _run_folder(out, "postings", run_id)
+        if buckets:
+            metadata_path = _run_folder(out, "incoming", run_id)
+            metadata.write.mode("overwrite").parquet(metadata_path)
+            incoming = spark.read.schema(METADATA_SCHEMA).parquet(metadata_path)
+            table = metadata_table(spark, out, buckets)
+            existing = table.get_touched(incoming)
+            write_postings(column_postings(existing, incoming), postings_path)
+            table.upsert(incoming, upsert_metadata, f"run-{run_id}")
+            metadata_path = f"{out}/metadata_buckets"
+            counts |= average_columns(table.read()).first().asDict()
+        else:
+            before = previous_run(spark, manifest, run_id)
+            existing = (
+                spark.createDataFrame([], METADATA_SCHEMA) if before is None
+                else spark.read.schema(METADATA_SCHEMA).parquet(_run_folder(out, "metadata", before))
+            )
+            metadata_path = _run_folder(out, "metadata", run_id)
+            upsert_metadata(existing, metadata).write.mode("overwrite").parquet(metadata_path)
+            write_postings(column_postings(existing, metadata), postings_path)
+            counts |= average_columns(spark.read.parquet(metadata_path)).first().asDict()
         written.update(readings=readings_path, metadata=metadata_path, rejects=rejects_path)
     if "clean" in steps:
         written["counters"] = write_counters(spark, _run_folder(out, "counters", run_id), counts)
@@ -315,6 +331,22 @@ def run_load(
     return written
 
 
+def metadata_table(spark: SparkSession, out: str, buckets: int = BUCKETS) -> BucketTable:
+    """The bucketed float metadata of run_load."""
+    return BucketTable(spark, f"{out}/metadata_buckets", METADATA_SCHEMA, "float_id", buckets)
+
+
+def write_postings(postings: DataFrame, path: str) -> None:
+    write_partitioned(postings, path, ["column"], whole=True)
+
+
+def floats_having(spark: SparkSession, out: str, columns: list[str]) -> DataFrame:
+    """Floats with all the columns, by the postings of finished runs: only these columns' folders are read."""
+    runs = read_manifest(spark, f"{out}/manifest").groupBy("run_id").agg(F.max("seq").alias("seq"))
+    stored = spark.read.schema("float_id string, present boolean, run_id bigint, column string").parquet(f"{out}/postings")
+    return floats_with_columns(stored.join(F.broadcast(runs), "run_id"), columns)
+
+
 def run_clean(spark: SparkSession, root: str, out: str) -> str:
     """A tree of cleaned CSV files like the one below ``root``, one folder per file.
 
