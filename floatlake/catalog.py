@@ -177,7 +177,7 @@ READINGS_SCHEMA = T.StructType([
     T.StructField("JULD_TIME", T.StringType()),
 ])
 
-# Columns of the core summary that are never aggregated.
+# Columns of the core summary that are never aggregated.
 CORE_SKIPPED = {
     "PLATFORM_NUMBER", "N_LEVELS", "DATE", "ROW_COUNT", "JULD", "JULD_LOCATION",
     "PRES_ADJUSTED",

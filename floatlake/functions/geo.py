@@ -7,24 +7,48 @@ by floatlake.operators.regions instead.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, functions as F
 
 from floatlake.catalog import OCEAN_BOXES, REGION_BOXES
 
 
-def _reachable(boxes):
-    """Drop boxes that lie wholly inside one earlier box: they can never win."""
-    kept = []
+def visible_boxes(boxes, mode: str = "closed"):
+    """The boxes that can win: those not covered by the earlier ones together.
+
+    A sweep over the latitudes. Between two edges, and on each edge, the same boxes hold a point
+    whatever its exact place, so every edge and every gap is one row, with the longitudes
+    (edges and gaps again) that earlier boxes cover as the bits of one number.
+    """
+    def places(low: int, high: int) -> list[tuple[float, float]]:
+        edges = sorted({edge for box in boxes for edge in (box[low], box[high])})
+        return sorted([(edge, edge) for edge in edges] + list(zip(edges, edges[1:])))
+
+    def held(place: tuple[float, float], low: float, high: float) -> bool:
+        # A gap reaches from edge to edge, so it is inside a box as a whole or not at all.
+        if place[0] < place[1]:
+            return low <= place[0] and place[1] <= high
+        return low <= place[0] <= high if mode == "closed" else low < place[0] < high
+
+    rows, columns = places(1, 2), places(3, 4)
+    covered, kept = [0] * len(rows), []
     for box in boxes:
-        _, lat0, lat1, lon0, lon1 = box
-        hidden = any(
-            a <= lat0 and lat1 <= b and c <= lon0 and lon1 <= d for _, a, b, c, d in kept
-        )
-        if not hidden:
+        _, south, north, west, east = box
+        own = sum(1 << i for i, place in enumerate(columns) if held(place, west, east))
+        within = [i for i, place in enumerate(rows) if held(place, south, north)]
+        if any(own & ~covered[i] for i in within):
             kept.append(box)
+        for i in within:
+            covered[i] |= own
     return kept
 
 
+@cache
+def _region_boxes(mode: str):
+    return visible_boxes(REGION_BOXES, mode)
+
+
 def _missing(lat: str, lon: str) -> str:
     return f"{lat} IS NULL OR {lon} IS NULL OR isnan({lat}) OR isnan({lon})"
 
@@ -57,7 +81,7 @@ def assign_region(lat: str, lon: str, mode: str = "closed") -> Column:
     lat, lon = _quoted(lat), _quoted(lon)
     unknown, cmp = ("Unknown", "<=") if mode == "closed" else ("Unknown Region", "<")
     cases = [(_missing(lat, lon), unknown)]
-    for name, lat0, lat1, lon0, lon1 in _reachable(REGION_BOXES):
+    for name, lat0, lat1, lon0, lon1 in _region_boxes(mode):
         cases.append((
             f"{lat0}D {cmp} {lat} AND {lat} {cmp} {lat1}D"
             f" AND {lon0}D {cmp} {lon} AND {lon} {cmp} {lon1}D",

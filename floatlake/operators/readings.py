@@ -163,7 +163,8 @@ def float_metadata(
     ).alias("_first")
     # The column flags are part of the same aggregation, under names of their own.
     flags = [F.max(_filled(df, c)).alias(f"_f_{c}") for c in columns]
-    keys = [filename, "float_id"]
+    # Files of one name in two folders are two files.
+    keys = list(dict.fromkeys([filename, *([path] if path in df.columns else []), "float_id"]))
     grouped = df.groupBy(*keys).agg(first, last_reading_date(df).alias("last_reading_date"), *flags)
     listed = F.array_compact(F.array(*[F.when(F.col(f"_f_{c}"), F.lit(c)) for c in columns]))
     return grouped.select(
@@ -181,12 +182,12 @@ def float_metadata(
 
 
 def upsert_metadata(existing: DataFrame, incoming: DataFrame, order: list[str] | None = None) -> DataFrame:
-    """Metadata after loading ``incoming`` in ``order`` (default: by file name).
+    """Metadata after loading ``incoming`` in ``order`` (default: by file name, then float type).
 
     A float seen before keeps all its first values; only last_reading_date and
     all_columns take those of the latest load, even when null or older.
     """
-    order = order or ["csv_filename"]
+    order = order or ["csv_filename", "float_type"]
     names = existing.columns
     kept = [n for n in names if n not in ("float_id", "last_reading_date", "all_columns")]
     seq = F.struct(F.lit(1).alias("load"), *[F.col(c).cast("string").alias(f"o{i}") for i, c in enumerate(order)])

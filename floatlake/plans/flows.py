@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from floatlake.catalog import METADATA_SCHEMA
 from floatlake.functions.dates import filename_date, month_number
-from floatlake.functions.paths import float_type, year_month_parts
+from floatlake.functions.paths import basename, float_type, year_month_parts
 from floatlake.operators.cleaning import clean_text_columns, split_datetime_columns
 from floatlake.operators.flatten import flatten_profiles
 from floatlake.operators.index import (
@@ -141,32 +141,48 @@ def placed_files(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.select("path"), rejected.select("path", "reason")
 
 
+def dated_files(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(files with a date in their name, other files with the reason)."""
+    named = found.select("path", basename("path").alias("filename"))
+    good, undated = routed_by_filename(named)
+    return good.select("path"), undated.select("path", F.lit("no date in the file name").alias("reason"))
+
+
+def _month_of_filename(rows: DataFrame) -> DataFrame:
+    dated, _ = routed_by_filename(rows.withColumn("filename", basename("path")))
+    return dated.drop("day")
+
+
 def run_core(
     spark: SparkSession, out: str, run_id: int, csv_root: str | None = None,
     steps: tuple[str, ...] = ("levels", "summary"), default_date: str | None = None,
+    by: str = "folder",
 ) -> dict[str, str]:
     """Core floats: daily CSV files to typed level rows and labelled monthly summaries.
 
     Every run keeps the states of its profiles by month. A month with new files is summarised
     again from the states of finished runs and this one: level rows of earlier runs are not read,
-    and other months are not touched. Files outside <year>/<month>/ folders are listed as
-    rejects and not recorded: once moved, they are taken.
+    and other months are not touched. A file's month is that of its <year>/<month>/ folder or, ``by``
+    "filename", of the date its name starts with. Files without one are listed as
+    rejects and not recorded: once moved or renamed, they are taken.
     """
+    if by not in ("folder", "filename"):
+        raise ValueError(f"by must be 'folder' or 'filename', not {by!r}")
     written, counts = {}, {}
     levels_path, own = f"{out}/levels", _run_folder(out, "levels", run_id)
     if "levels" in steps:
-        usable, rejected = placed_files(list_files(spark, csv_root, "*.csv"))
+        usable, rejected = (placed_files if by == "folder" else dated_files)(list_files(spark, csv_root, "*.csv"))
         files = _taken_files(spark, usable, out, run_id)
         paths = pending_paths(files)
         if not paths:
             return written
         counts["files"] = len(paths)
-        placed = with_path_columns(read_mixed_csv(spark, paths))
-        levels = (
-            type_levels(clean_text_columns(placed, ["path", "filename", "month_name"]))
-            .withColumn("month", month_number("month_name"))
-            .drop("month_name", "_columns")
-        )
+        raw = read_mixed_csv(spark, paths)
+        if by == "folder":
+            placed = with_path_columns(raw).withColumn("month", month_number("month_name")).drop("month_name")
+        else:
+            placed = _month_of_filename(raw)
+        levels = type_levels(clean_text_columns(placed, ["path", "filename"])).drop("_columns")
         levels, seen = observe_rows(levels, "levels")
         write_partitioned(levels, own, ["year", "month"], whole=True)
         counts["rows"] = seen.get["rows"]
@@ -350,16 +366,26 @@ def floats_having(spark: SparkSession, out: str, columns: list[str]) -> DataFram
 def run_clean(spark: SparkSession, root: str, out: str) -> str:
     """A tree of cleaned CSV files like the one below ``root``, one folder per file.
 
-    Columns without any value in a file are left out of that file's copy. Files are grouped
-    by the set of columns they fill, so a pass writes all files of one set.
+    Columns without any value in a file are left out of that file's copy. The text is parsed
+    once: cleaned rows are written, laid out by the set of columns their file fills, and
+    each set, which has one header, is one pass over its own rows. That table stays beside ``out``.
     """
+    rows_path = f"{out.rstrip('/')}_rows"
     clean = split_datetime_columns(clean_text_columns(read_mixed_csv(spark, root), FILE_COLUMNS))
+    clean.write.mode("overwrite").parquet(f"{rows_path}/parsed")
+    clean = spark.read.schema(clean.schema).parquet(f"{rows_path}/parsed")
     columns = [c for c in clean.columns if c not in FILE_COLUMNS]
     filled = F.array_compact(F.array(*[F.when(F.max(F.col(f"`{c}`").isNotNull()), F.lit(c)) for c in columns]))
     per_file = clean.groupBy("path").agg(filled.alias("_filled"))
     # A header for every distinct set: as few as the sources have kinds of files.
-    for row in per_file.select("_filled").distinct().collect():
-        same = per_file.where(F.col("_filled") == F.array(*[F.lit(c) for c in row["_filled"]]).cast("array<string>"))
-        part = clean.join(same.select("path"), "path", "left_semi")
-        write_mirrored(part.select(*row["_filled"], *FILE_COLUMNS), root, out)
+    sets = sorted(r["_filled"] for r in per_file.select("_filled").distinct().collect())
+    if len(sets) == 1:
+        write_mirrored(clean.select(*sets[0], *FILE_COLUMNS), root, out)
+        return out
+    numbers = spark.createDataFrame(list(enumerate(sets)), "_set int, _filled array<string>")
+    numbered = clean.join(per_file.join(F.broadcast(numbers), "_filled").select("path", "_set"), "path")
+    write_partitioned(numbered, f"{rows_path}/by_set", ["_set"], whole=True)
+    by_set = spark.read.schema(numbered.schema).parquet(f"{rows_path}/by_set")
+    for number, names in enumerate(sets):
+        write_mirrored(by_set.where(F.col("_set") == number).select(*names, *FILE_COLUMNS), root, out)
     return out

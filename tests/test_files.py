@@ -483,3 +483,26 @@ def test_other_profile_columns_bring_the_levels_back(spark, tmp_path):
         flows.run_core(spark, out, run, str(root))
     flows.run_core(spark, str(tmp_path / "once"), 1, str(whole))
     assert by_column(spark.read.parquet(f"{out}/summary")) == by_column(spark.read.parquet(f"{tmp_path}/once/summary"))
+
+
+def test_core_flow_by_file_name(spark, tmp_path):
+    """The date in the name places a file, whatever its folder; names without one are rejects."""
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    put(root / "any" / "20250801_prof.csv", CORE_HEADER + "7,1,2025-08-01,15,65,5,28,2\n")
+    put(root / "2020" / "May" / "20250701_prof.csv", CORE_HEADER + "8,1,2025-07-01,15,65,5,28,2\n")
+    put(root / "any" / "undated_prof.csv", CORE_HEADER + "9,1,2025-07-01,15,65,5,28,2\n")
+    written = flows.run_core(spark, out, 1, str(root), by="filename")
+    rows = {(r.year, r.month_name): r.PLATFORM_NUMBER for r in spark.read.parquet(f"{out}/summary").collect()}
+    assert rows == {(2025, "August"): "7", (2025, "July"): "8"}
+    rejects = spark.read.parquet(written["rejects"]).collect()
+    assert [(r.path.rsplit("/", 1)[1], r.reason) for r in rejects] == [("undated_prof.csv", "no date in the file name")]
+    with pytest.raises(ValueError):
+        flows.run_core(spark, out, 2, str(root), by="date")
+
+
+def test_equal_file_names_in_two_folders_are_two_files(spark, tmp_path):
+    for kind, project in (("BCG floats", "a"), ("Non-BCG floats", "b")):
+        put(tmp_path / kind / "1_Sprof.csv", f"PLATFORM_NUMBER,PROJECT_NAME\n1,{project}\n")
+    clean = source.read_strings_csv(spark, str(tmp_path))
+    found = flows.load_tables(clean, source.ROW_ORDER)[1].collect()
+    assert sorted((r.float_type, r.project_name) for r in found) == [("BCG", "a"), ("NON-BCG", "b")]

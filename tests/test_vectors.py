@@ -200,3 +200,23 @@ def test_grouping_columns():
     assert grouping_columns(names) == ["PLATFORM_NUMBER", "FLOAT_SERIAL_NO", "CYCLE_NUMBER", "n_levels", "JULD"]
     with pytest.raises(ValueError):
         grouping_columns(["PRES"])
+
+
+def test_boxes_covered_by_several_earlier_ones_go():
+    from floatlake.catalog import REGION_BOXES
+    from floatlake.functions.geo import visible_boxes
+
+    halves = [("a", 0, 10, 0, 10), ("b", 0, 10, 10, 20), ("c", 2, 8, 5, 15), ("d", 0, 10, 5, 25)]
+    assert [x[0] for x in visible_boxes(halves)] == ["a", "b", "d"]
+    # With open borders the line between the halves is covered by neither.
+    assert [x[0] for x in visible_boxes(halves, "open")] == ["a", "b", "c", "d"]
+    for mode in ("closed", "open"):
+        kept = visible_boxes(REGION_BOXES, mode)
+        assert len(kept) < len(REGION_BOXES) - 20
+        ok = (lambda x, a, b: a <= x <= b) if mode == "closed" else (lambda x, a, b: a < x < b)
+        edges = [sorted({v for b in REGION_BOXES for v in (b[i], b[i + 1])}) for i in (1, 3)]
+        spots = [sorted({*e, *((p + q) / 2 for p, q in zip(e, e[1:], strict=False))}) for e in edges]
+        for y in spots[0][::3]:
+            for x in spots[1]:
+                first = [next((b[0] for b in boxes if ok(y, b[1], b[2]) and ok(x, b[3], b[4])), None) for boxes in (REGION_BOXES, kept)]
+                assert first[0] == first[1]
