@@ -123,6 +123,7 @@ class ItemIndex:
             codes = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words_of(text)]
             if codes:
                 self.items.append((item_id, codes))
+        self.distinct = [frozenset(codes) for _, codes in self.items]
         self.max_edits = max_edits
         #: Symbol of a word: 0 for words of no item.
         symbols = [0] + [xxhash.xxh64_intdigest(w.encode(), 7) & 0x7FFFFFFF for w in self.vocabulary]
@@ -237,6 +238,10 @@ class ItemIndex:
             a = max(first - allowed, int(firsts[text]))
             b = min(first + 2 * allowed + len(own), int(ends[text]))
             part = joined[a:b].tolist()
+            # An edit takes at most one of the item's distinct words away.
+            distinct = self.distinct[item]
+            if len(distinct.intersection(part)) < len(distinct) - allowed:
+                continue
             distance, end = edit_end(own, part)
             if distance <= allowed:
                 back, length = edit_end(own[::-1], part[:end][::-1])

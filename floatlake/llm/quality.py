@@ -206,8 +206,10 @@ def quality_verdicts(
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     rows = workspace.save(statistics(docs, id_column, text_column).withColumn("base_failed", failed), "statistics")
     share = min(1.0, TREES * SAMPLE / max(1, rows.count()))
-    chosen = F.pmod(F.xxhash64("doc_id", *STATISTICS), F.lit(1 << 30)) < int(share * (1 << 30))
-    drawn = rows.filter(chosen).select(*STATISTICS).limit(2 * TREES * SAMPLE).toPandas()
+    draw = F.pmod(F.xxhash64("doc_id", *STATISTICS), F.lit(1 << 30))
+    # The smallest hashes, in their order: the same rows on every run, also where repeated rows make them too many.
+    ranked = rows.filter(draw < int(share * (1 << 30))).orderBy(draw, *STATISTICS).limit(2 * TREES * SAMPLE)
+    drawn = ranked.select(*STATISTICS).toPandas()
     forest = IsolationForest.grow(features(drawn))
     scored = workspace.save(rows.withColumn("anomaly", scores(spark, forest)), "scored")
     known = labels.select(F.col(label_id).cast("long").alias("doc_id"), F.col(label_column).cast("int").alias("good")).dropna()

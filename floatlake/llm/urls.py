@@ -19,8 +19,8 @@ from floatlake.llm.common import Workspace
 BROADCAST_BITS = 64 << 23
 #: False positives a level lets through.
 FALSE_SHARE = 0.1
-#: From this many keys on a level holds them by value: no further level can follow.
-LAST_KEYS = 64
+#: After the first level, so few keys that pass all levels are held by value: no further level follows.
+LAST_KEYS = 8
 
 
 def url_host(url: Column) -> Column:
@@ -34,16 +34,21 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def candidate_keys(host: str, path: str, prefixes: list[int]) -> list[str]:
+def candidate_keys(host: str, path: str, prefixes: list[int], longest: int) -> list[str]:
     """Keys that can stand for a URL: each parent of the host with each prefix of the path.
 
-    The longest key comes first; of equally long ones that with the longer host.
+    Parents of more than `longest` characters, the longest host of a key, can't be one, so a host of
+    very many labels costs no more than a short one. The longest key comes first; of equally long
+    ones that with the longer host.
     """
-    if not host:
-        return []
-    labels = host.split(".")
-    parents = [".".join(labels[i:]) for i in range(len(labels))]
-    keys = [(p, path[:n]) for p in parents if p for n in prefixes if n <= len(path)]
+    keys, at = [], len(host)
+    while at > 0:
+        at = host.rfind(".", 0, at)
+        parent = host[at + 1 :]
+        if len(parent) > longest:
+            break
+        if parent:
+            keys += [(parent, path[:n]) for n in prefixes if n <= len(path)]
     keys.sort(key=lambda x: (-len(x[0]) - len(x[1]), -len(x[0])))
     return [p + x for p, x in keys]
 
@@ -127,6 +132,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame, workspace: Workspace,
 
     Each level's bits are set by an aggregation; only words of bits come to the driver.
     Levels end when no key of the other side passes, or LAST_KEYS at most, which are kept by value.
+    A list without a key in the universe needs no level.
     """
     inside = workspace.save(universe.join(listed.select("key").distinct(), "key", "left_semi"), f"{name}-in")
     outside = workspace.save(universe.join(inside, "key", "left_anti"), f"{name}-out")
@@ -134,7 +140,7 @@ def build_cascade(universe: DataFrame, listed: DataFrame, workspace: Workspace,
     sides, listed_side = [inside, outside], True
     own = inside.count()
     while True:
-        if own <= LAST_KEYS:
+        if not own or (cascade.levels and own <= LAST_KEYS):
             cascade.rest = frozenset(row.key for row in sides[0].collect())
             cascade.rest_listed = listed_side
             return cascade
@@ -149,20 +155,23 @@ def build_cascade(universe: DataFrame, listed: DataFrame, workspace: Workspace,
         own = passing.count()
 
 
-def corpus_keys(addresses: DataFrame, prefixes: list[int]) -> DataFrame:
+def corpus_keys(addresses: DataFrame, prefixes: list[int], longest: int) -> DataFrame:
     """Distinct `key` over all `host, path`: the complete key universe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = {k for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True) for k in candidate_keys(h, p, prefixes)}
+            keys = {k for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist(), strict=True) for k in candidate_keys(h, p, prefixes, longest)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(keys), pa.string())], ["key"])
 
-    longest = max(prefixes, default=0)
-    short = addresses.select("host", F.substring("path", 1, longest).alias("path"))
+    short = addresses.select(
+        # Longer parents of the host are no keys; the cut end is none either, unless the whole host is.
+        F.when(F.char_length("host") > longest + 1, F.right("host", F.lit(longest + 1))).otherwise(F.col("host")).alias("host"),
+        F.substring("path", 1, max(prefixes, default=0)).alias("path"),
+    )
     return short.mapInArrow(run, "key string").distinct()
 
 
-def _lookup(spark: SparkSession, cascades: dict[str, Cascade], prefixes: list[int]):
+def _lookup(spark: SparkSession, cascades: dict[str, Cascade], prefixes: list[int], longest: int):
     shared = spark.sparkContext.broadcast(cascades)
 
     @F.pandas_udf("rule string, allowed boolean, listed boolean")
@@ -172,7 +181,7 @@ def _lookup(spark: SparkSession, cascades: dict[str, Cascade], prefixes: list[in
             known: dict[tuple[str, str], tuple] = {}
             pairs = list(zip(batch["host"], batch["path"], strict=True))
             fresh = sorted(set(pairs))
-            keys = [candidate_keys(h, p, prefixes) for h, p in fresh]
+            keys = [candidate_keys(h, p, prefixes, longest) for h, p in fresh]
             flat = [k for own in keys for k in own]
             ruled, allowed, listed = (found[x].contains(flat) for x in ("rules", "allowed", "listed"))
             at = 0
@@ -212,8 +221,11 @@ def url_verdicts(
     rules = rules.select("key", "verdict").dropna().filter("key <> ''")
     listed = listed.select("key").dropna().filter("key <> ''")
     length = F.char_length("key") - F.char_length(F.substring_index("key", "/", 1))
-    prefixes = sorted(row.n for row in rules.select("key").unionByName(listed).select(length.alias("n")).distinct().collect())
-    universe = workspace.save(corpus_keys(addressed, prefixes), "universe")
+    every = rules.select("key").unionByName(listed)
+    # One row per length of a path: as few as the longest one has characters.
+    prefixes = sorted(row.n for row in every.select(length.alias("n")).distinct().collect())
+    longest = every.agg(F.max(F.char_length(F.substring_index("key", "/", 1)))).first()[0] or 0
+    universe = workspace.save(corpus_keys(addressed, prefixes, longest), "universe")
     blocked = rules.filter("verdict = 'block'").select("key")
     allowed = rules.filter("verdict <> 'block'").join(blocked, "key", "left_anti").select("key")
 
@@ -229,7 +241,7 @@ def url_verdicts(
             name: build_cascade(own, keys, workspace, f"{name}{number}")
             for name, keys in (("rules", rules.select("key")), ("allowed", allowed), ("listed", listed))
         }
-        found = _lookup(spark, cascades, prefixes)(F.struct("host", "path"))
+        found = _lookup(spark, cascades, prefixes, longest)(F.struct("host", "path"))
         judged = judged.withColumn("x", found)
         longer = F.col("x.rule").isNotNull() & (
             F.col("rule").isNull() | (F.char_length("x.rule") > F.char_length("rule"))
