@@ -336,6 +336,11 @@ FROM (SELECT *, unnest(range(len(embedding))) AS i FROM embeddings)""",
   trim(string_split(o_orderpriority, '-')[1]) AS parameter_data_mode,
   CASE WHEN i = 0 THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS pres
 FROM (SELECT *, unnest(range(2)) AS i FROM orders)""",
+        "flatten_discovered": """SELECT o_orderkey AS key, place AS level_idx, CASE WHEN o_orderkey % 2 = 1 THEN o_orderpriority || 'x' END AS clerk,
+  CASE WHEN o_orderkey % 2 = 1 AND place = 0 THEN o_totalprice END AS doxy,
+  CASE WHEN o_orderkey % 2 = 0 THEN [o_orderstatus, o_orderpriority][place + 1] END AS flag,
+  CASE WHEN o_orderkey % 2 = 0 AND place = 0 THEN o_totalprice ELSE CAST(o_custkey AS DOUBLE) END AS pres
+FROM orders, (VALUES (0), (1)) places(place) WHERE o_orderkey % 2 = 0 OR place = 0""",
         "clean_bytes": f"WITH {_DIRTY} SELECT rn, {_clean('project_name')} AS project_name FROM d",
         "null_tokens": f"WITH {_DIRTY} SELECT rn, CASE WHEN project_name NOT IN ({_TOKENS}) THEN project_name END AS as_read, {_loaded('project_name')} AS as_loaded FROM d",
         "split_datetime": f"WITH {_DIRTY} SELECT rn, {_DATE} AS juld_date, {_TIME} AS juld_time FROM d",

@@ -12,7 +12,7 @@ from floatlake.operators import (
     cleaning, flatten, index, polygons, profile, quality, readings, regions, summary,
 )
 from floatlake.plans import flows, increments
-from floatlake.sources import csv
+from floatlake.sources import csv, profiles
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -254,6 +254,20 @@ def flatten_first_last(spark, sf):
     return lower(flatten.flatten_profiles(nested, ["o_orderkey"], {"DATA_CENTRE": "chars"}))
 
 
+def flatten_discovered(spark, sf):
+    """Two kinds of JSON profiles: other variables, and one as a list here and a value there."""
+    even = F.struct(
+        F.col("o_orderkey").alias("KEY"), F.array("o_totalprice", F.col("o_custkey").cast("double")).alias("PRES"),
+        F.array("o_orderstatus", "o_orderpriority").alias("FLAG"), F.lit(None).cast("string").alias("NOTHING"),
+    )
+    odd = F.struct(F.col("o_orderkey").alias("KEY"), F.col("o_custkey").alias("PRES"), F.array("o_totalprice").alias("DOXY"), F.concat("o_orderpriority", F.lit("x")).alias("CLERK"))
+    is_even = F.col("o_orderkey") % 2 == 0
+    lines = table(spark, sf, "orders").select(
+        F.when(is_even, F.to_json(even)).otherwise(F.to_json(odd)).alias("line")
+    )
+    return lower(flatten.flatten_profiles(profiles.profiles_from_json(lines, "line"), ["KEY"]))
+
+
 # --- cleaning -------------------------------------------------------------------
 
 def dirty(spark, sf):
@@ -552,6 +566,7 @@ QUERIES = {
     "platform_sample": platform_sample,
     "flatten_levels": flatten_levels,
     "flatten_first_last": flatten_first_last,
+    "flatten_discovered": flatten_discovered,
     "clean_bytes": clean_bytes,
     "null_tokens": null_tokens,
     "split_datetime": split_datetime,

@@ -101,6 +101,11 @@ def profile_values(df: DataFrame, roles: dict[str, str]) -> dict[str, Column]:
     return values
 
 
+def _filled(df: DataFrame, name: str) -> Column:
+    """The array, empty where a profile has none: the levels of its other variables count."""
+    return F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType))
+
+
 def flatten_profiles(
     df: DataFrame,
     id_columns: list[str],
@@ -129,7 +134,7 @@ def flatten_profiles(
     exploded = df.select(
         *id_columns,
         *[single[name].alias(name) for name in sorted(single)],
-        F.posexplode(F.arrays_zip(*[F.col(name) for name in levels])).alias("level_idx", "_level"),
+        F.posexplode(F.arrays_zip(*[_filled(df, name).alias(name) for name in levels])).alias("level_idx", "_level"),
     )
     return exploded.select(
         *id_columns,

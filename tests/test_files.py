@@ -506,3 +506,26 @@ def test_equal_file_names_in_two_folders_are_two_files(spark, tmp_path):
     clean = source.read_strings_csv(spark, str(tmp_path))
     found = flows.load_tables(clean, source.ROW_ORDER)[1].collect()
     assert sorted((r.float_type, r.project_name) for r in found) == [("BCG", "a"), ("NON-BCG", "b")]
+
+
+def test_profiles_with_unknown_variables(spark, tmp_path):
+    """Files with different variables, classified per file, become one table of levels."""
+    from floatlake.operators.flatten import flatten_profiles
+
+    put(tmp_path / "a.json", '{"ID": 1, "PRES": [5, 10.5], "TEMP": [28.0, 27], "PLATFORM_NUMBER": "19", "it\'s": [1, 2], "deep": {"x": 1}}\nno json\n[1]\n')
+    put(tmp_path / "b.json", '{"ID": 2, "PRES": 7, "DOXY": [[200, 201], [202]], "PLATFORM_NUMBER": 20, "NOTE": null}\n{"ID": 3, "DOXY": [205], "NOTE": null}\n')
+    put(tmp_path / "c.json", "\n")
+    found = read_profiles(spark, str(tmp_path), "json", discover=True)
+    assert dict(found.dtypes) == {
+        "ID": "bigint", "PRES": "array<double>", "TEMP": "array<double>", "DOXY": "array<array<bigint>>", "PLATFORM_NUMBER": "string",
+        "NOTE": "string", "it's": "array<bigint>",
+    }
+    rows = {r.ID: r for r in found.collect()}
+    assert rows[1].PRES == [5.0, 10.5] and rows[2].PRES == [7.0] and rows[3].PRES is None
+    assert rows[2].DOXY == [[200, 201], [202]] and rows[3].DOXY == [[205]]
+    assert (rows[1].PLATFORM_NUMBER, rows[2].PLATFORM_NUMBER) == ("19", "20") and rows[1]["it's"] == [1, 2]
+    levels = flatten_profiles(found, ["ID"]).collect()
+    assert sorted((r.ID, r.level_idx, r.PRES, r.TEMP) for r in levels) == [(1, 0, 5.0, 28.0), (1, 1, 10.5, 27.0), (2, 0, 7.0, None)]
+    assert read_profiles(spark, str(tmp_path), "json", discover=True, with_files=True).select("path").distinct().count() == 2
+    with pytest.raises(ValueError):
+        read_profiles(spark, str(tmp_path), "parquet", discover=True)
