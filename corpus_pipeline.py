@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from floatlake.llm import decontaminate, language, lines, simhash
+from floatlake.llm import decontaminate, language, lines, similar
 from floatlake.llm.common import Workspace, finished_tables
 from floatlake.llm.queries import pack, table
 
@@ -20,8 +20,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_first_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component."""
-    return simhash.first_of_each(docs)
+    """The document with the smallest id of each group of near copies: five-word shingles, similarity 0.8."""
+    return similar.first_of_similar(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
