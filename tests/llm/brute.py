@@ -109,3 +109,21 @@ def phrase_places(words, phrases):
     found = {name: [i for i in range(len(words)) if words[i : i + len(p.split())] == p.split()] for name, p in phrases.items()}
     every = [i for places in found.values() for i in places]
     return len(words), len(every), min(every, default=None), max(every, default=None), sorted(k for k, x in found.items() if x)
+
+
+def first_of_similar(rows, similarity=0.8, length=5):
+    """The (id, text) with the smallest id of each group of texts of similar word shingles."""
+    def shingles(text):
+        words = WORD.findall((text or "").translate(LOWER))
+        return {tuple(words[i : i + length]) for i in range(max(1, len(words) - length + 1))} if words else set()
+
+    sets = [shingles(t) for _, t in rows]
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if group[i] != group[j] and (len(a & b) >= similarity * len(a | b)):
+                group = [group[j] if x == group[i] else x for x in group]
+    least = {}
+    for (doc, _), g in zip(rows, group, strict=True):
+        least[g] = min(least.get(g, doc), doc)
+    return [(doc, t) for (doc, t), g in zip(rows, group, strict=True) if least[g] == doc]

@@ -46,7 +46,7 @@ def test_pipeline(spark):
     assert {i for i, _ in rows} <= lettered and len(rows) >= 0.98 * len(lettered)
 
     rows = [(i, kept) for i, _, _, kept in brute.repeated_lines(rows)]
-    rows = [(i, t) for (i, t), (_, _, c) in zip(rows, brute.components(rows), strict=True) if i == c]
+    rows = brute.first_of_similar(rows)
     items = [decontaminate.words_of(r.text) for r in queries.table(spark, SF, "benchmark").collect()]
 
     def leaks(text):
