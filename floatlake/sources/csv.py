@@ -17,6 +17,7 @@ from floatlake.catalog import column_type
 from floatlake.functions.dates import juld_to_timestamp
 from floatlake.functions.paths import basename, year_month_parts
 from floatlake.functions.text import clean_bytes, null_tokens, to_number
+from floatlake.sources.quoted import parsed_records, quoted_records
 
 ROW_ORDER = ["path", "row_block", "row_pos"]
 FILE_COLUMNS = ["path", "filename", "row_block", "row_pos", "_columns"]
@@ -103,16 +104,13 @@ def _read_one_header(
     spark: SparkSession, header: str, files: list[str], multi_line: bool
 ) -> DataFrame:
     names = [name.strip() or f"_unnamed{i}" for i, name in enumerate(next(csv.reader([header])))]
-    numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
-    scan = (
-        spark.read.schema(numbered)
-        .option("header", "true")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .csv([escaped(file) for file in files])
-    )
-    ordered = with_row_order(scan)
+    places = [escaped(file) for file in files]
+    if multi_line:
+        ordered = parsed_records(quoted_records(read_lines(spark, places)), len(names))
+    else:
+        numbered = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
+        reader = spark.read.schema(numbered).option("header", "true").option("quote", '"').option("escape", '"')
+        ordered = with_row_order(reader.csv(places))
     seen, taken, picked = set(), {c.upper() for c in FILE_COLUMNS}, []
     for i, name in enumerate(names):
         if name not in seen:
@@ -147,7 +145,7 @@ def read_mixed_csv(
     gets a scan of its own. Equally named columns keep the first; a name that differs
     only in case from an earlier one gets a number. ``headers`` skips
     the header pass when the caller already knows them. ``multi_line`` allows line
-    breaks inside quoted values; files are then read whole, one task each.
+    breaks inside quoted values (but not in the header); files are still read in blocks.
     """
     groups = headers if headers is not None else headers_of(spark, paths, pattern)
     if not groups:
