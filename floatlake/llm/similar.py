@@ -27,6 +27,10 @@ RUNS = MAX_BITS + 1
 BY_CHANCE = 0.05
 #: Pairs whose whole fingerprints differ in so many standard deviations more bits than expected are dropped unchecked.
 DEVIATIONS = 4
+#: Characters that are printed together: a print takes many times the memory of its text's shingles.
+PRINT_CHARS = 250_000
+#: Contents a task remembers so as to print copies once.
+REMEMBERED = 1_000_000
 
 _KEYS = pa.schema([("did", pa.int64()), ("c", pa.int64())])
 _PRINTS = pa.schema([("c", pa.int64()), ("bits", pa.list_(pa.int64())), ("parts", pa.list_(pa.int64()))])
@@ -68,17 +72,22 @@ def _shingles(texts: list[str | None], length: int) -> tuple[np.ndarray, np.ndar
     return result, counts
 
 
+def _content_hashes(texts: list[str | None]) -> np.ndarray:
+    """What texts of the same words have in common; 0 for no word."""
+    table = WordTable([(x or "").encode("utf-8", "surrogatepass").lower() for x in texts])
+    words, found = table.hashes(), np.zeros(len(texts), np.uint64)
+    for i in np.flatnonzero(table.count).tolist():
+        own = words[table.first[i] : table.first[i] + table.count[i]]
+        found[i] = windows(own, len(own), 11)[0] | np.uint64(1)
+    return found.view(np.int64)
+
+
 def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """`did, c`: what texts of the same words have in common; 0 for no word."""
+    """`did, c` of every row."""
     for batch in batches:
         texts = batch.column("text").to_pylist()
         for a, b in blocks(texts):
-            table = WordTable([(x or "").encode("utf-8", "surrogatepass").lower() for x in texts[a:b]])
-            words, c = table.hashes(), np.zeros(b - a, np.uint64)
-            for i in np.flatnonzero(table.count).tolist():
-                own = words[table.first[i] : table.first[i] + table.count[i]]
-                c[i] = windows(own, len(own), 11)[0] | np.uint64(1)
-            yield record_batch(_KEYS, did=batch.column("did")[a:b], c=c.view(np.int64))
+            yield record_batch(_KEYS, did=batch.column("did")[a:b], c=_content_hashes(texts[a:b]))
 
 
 def wide_prints(hashes: np.ndarray, counts: np.ndarray, words: int) -> np.ndarray:
@@ -101,19 +110,27 @@ def _prints(length: int, bits: int, parts: int):
     words, run = -(-bits * parts // 64), bits // RUNS
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
-                found = wide_prints(*_shingles(texts[a:b], length), words)
-                flat = np.unpackbits(found.view(np.uint8).reshape(b - a, -1), axis=1, bitorder="little")[:, : bits * parts]
-                split = flat.reshape(b - a, parts, bits)
+            for a, b in blocks(texts, PRINT_CHARS):
+                # Copies of one task are printed once.
+                contents = _content_hashes(texts[a:b]).tolist()
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                own = {c: text for c, text in zip(contents, texts[a:b], strict=True) if c and c not in seen}
+                seen.update(own)
+                if not own:
+                    continue
+                n = len(own)
+                found = wide_prints(*_shingles(list(own.values()), length), words)
+                flat = np.unpackbits(found.view(np.uint8).reshape(n, -1), axis=1, bitorder="little")[:, : bits * parts]
+                split = flat.reshape(n, parts, bits)
                 turned = np.stack([np.roll(split, -run * r, axis=2) for r in range(RUNS)], axis=2)
-                padded = np.zeros((b - a, parts, RUNS, 64), np.uint8)
+                padded = np.zeros((n, parts, RUNS, 64), np.uint8)
                 padded[..., :bits] = turned
                 values = np.packbits(padded, axis=3, bitorder="big").view(">u8")[..., 0].astype(np.uint64)
-                yield record_batch(
-                    _PRINTS, c=batch.column("c")[a:b], bits=list(found.view(np.int64)), parts=list(values.view(np.int64).reshape(b - a, -1)),
-                )
+                yield record_batch(_PRINTS, c=list(own), bits=list(found.view(np.int64)), parts=list(values.view(np.int64).reshape(n, -1)))
 
     return emit
 
@@ -155,10 +172,10 @@ def _sets(length: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, PRINT_CHARS):
                 hashes, counts = _shingles(texts[a:b], length)
                 own = np.split(hashes.view(np.int64), np.cumsum(counts)[:-1])
-                yield record_batch(_SETS, c=batch.column("c")[a:b], shingles=[np.unique(x) for x in own])
+                yield record_batch(_SETS, c=_content_hashes(texts[a:b]), shingles=[np.unique(x) for x in own])
 
     return emit
 
@@ -196,11 +213,7 @@ def similar_groups(
     keyed = workspace.save(rows.mapInArrow(_contents, "did long, c long"), "contents")
     holders = workspace.save(keyed.filter("c <> 0").groupBy("c").agg(F.min("did").alias("did")), "holders")
     bits, parts = plan_parts(max(1, holders.count()), similarity, recall)
-    # One row of each text is printed. Rows of one id may have several texts, so the hash is made again.
-    chosen = docs.select(row_id(id_column).alias("did"), F.col(text_column).cast("string").alias("text")).join(
-        holders.select("did").distinct(), "did", "left_semi"
-    ).mapInArrow(_with_content, "text string, c long").dropDuplicates(["c"])
-    printed = chosen.mapInArrow(_prints(shingle, bits, parts), "c long, bits array<long>, parts array<long>")
+    printed = rows.mapInArrow(_prints(shingle, bits, parts), "c long, bits array<long>, parts array<long>").dropDuplicates(["c"])
     printed = workspace.save(printed, "prints")
     each = printed.select("c", F.posexplode("parts").alias("part", "v"))
     distinct = workspace.save(each.groupBy("part", "v").agg(F.min("c").alias("c"), F.count("*").alias("n")), "values")
@@ -220,8 +233,7 @@ def similar_groups(
 
     wanted = likely.select(F.explode(F.array("a", "b")).alias("c")).distinct()
     needed = holders.join(wanted, "c", "left_semi").select("did").distinct()
-    sets = docs.select(row_id(id_column).alias("did"), F.col(text_column).cast("string").alias("text")).join(needed, "did", "left_semi")
-    sets = sets.mapInArrow(_with_content, "text string, c long").mapInArrow(_sets(shingle), "c long, shingles array<long>").dropDuplicates(["c"])
+    sets = rows.join(needed, "did", "left_semi").mapInArrow(_sets(shingle), "c long, shingles array<long>").dropDuplicates(["c"])
     sets = workspace.save(sets, "sets")
     compared = likely.join(sets.withColumnsRenamed({"c": "a", "shingles": "x"}), "a").join(sets.withColumnsRenamed({"c": "b", "shingles": "y"}), "b")
     verified = workspace.save(compared.mapInArrow(_similar(similarity), "a long, b long"), "links")
@@ -229,13 +241,6 @@ def similar_groups(
     return keyed.join(groups, F.col("c") == F.col("node"), "left").select("did", "c", F.coalesce("component", "c").alias("group"))
 
 
-def _with_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids = pa.array(np.zeros(batch.num_rows, np.int64))
-        own = list(_contents(iter([pa.RecordBatch.from_arrays([ids, batch.column("text")], ["did", "text"])])))
-        yield pa.RecordBatch.from_arrays([batch.column("text"), pa.concat_arrays([x.column("c") for x in own])], ["text", "c"])
-
-
 def first_of_similar(
     docs: DataFrame, shingle: int = 5, similarity: float = 0.8, recall: float = 0.9, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
@@ -265,8 +270,6 @@ def _content_of():
     def content(texts):
         import pandas as pd
 
-        batch = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(texts), np.int64)), pa.array(texts.tolist(), pa.string())], ["did", "text"])
-        parts = [x.column("c").to_numpy() for x in _contents(iter([batch]))]
-        return pd.Series(np.concatenate(parts) if parts else np.zeros(0, np.int64))
+        return pd.Series(_content_hashes(texts.tolist()))
 
     return content
