@@ -171,7 +171,13 @@ def corpus_keys(addresses: DataFrame, prefixes: list[int], longest: int) -> Data
     return short.mapInArrow(run, "key string").distinct()
 
 
-def _lookup(spark: SparkSession, cascades: dict[str, Cascade], prefixes: list[int], longest: int):
+def _in_shard(key: str, number: int, shards: int) -> bool:
+    """Whether pmod(xxhash64(key), shards) is the shard: a cascade is exact for its own keys only."""
+    value = xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass"), 42)
+    return (value - (1 << 64) if value >> 63 else value) % shards == number
+
+
+def _lookup(spark: SparkSession, cascades: dict[str, Cascade], prefixes: list[int], longest: int, number: int, shards: int):
     shared = spark.sparkContext.broadcast(cascades)
 
     @F.pandas_udf("rule string, allowed boolean, listed boolean")
@@ -182,6 +188,8 @@ def _lookup(spark: SparkSession, cascades: dict[str, Cascade], prefixes: list[in
             pairs = list(zip(batch["host"], batch["path"], strict=True))
             fresh = sorted(set(pairs))
             keys = [candidate_keys(h, p, prefixes, longest) for h, p in fresh]
+            if shards > 1:
+                keys = [[k for k in own if _in_shard(k, number, shards)] for own in keys]
             flat = [k for own in keys for k in own]
             ruled, allowed, listed = (found[x].contains(flat) for x in ("rules", "allowed", "listed"))
             at = 0
@@ -241,7 +249,7 @@ def url_verdicts(
             name: build_cascade(own, keys, workspace, f"{name}{number}")
             for name, keys in (("rules", rules.select("key")), ("allowed", allowed), ("listed", listed))
         }
-        found = _lookup(spark, cascades, prefixes, longest)(F.struct("host", "path"))
+        found = _lookup(spark, cascades, prefixes, longest, number, shards)(F.struct("host", "path"))
         judged = judged.withColumn("x", found)
         longer = F.col("x.rule").isNotNull() & (
             F.col("rule").isNull() | (F.char_length("x.rule") > F.char_length("rule"))

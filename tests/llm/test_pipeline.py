@@ -25,7 +25,7 @@ def test_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} | {"pipeline"} <= {name.split("_")[0] for name in entry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} | {"pipeline"} <= {name.split("_")[0] for name in entry.queries()}
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
