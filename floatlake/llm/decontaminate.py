@@ -276,8 +276,10 @@ def item_indexes(
     """
     spark = items.sparkSession
     chosen = items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("x")).filter("x is not null")
-    words = chosen.agg(F.sum(F.regexp_count("x", F.lit(r"[\p{L}\p{N}]+")))).first()[0] or 0
-    passes = max(1, math.ceil(1.25 * words * (repetitions(recall, max_edits) * KEY_BYTES + 8) / ITEM_BYTES))
+    words, n = chosen.agg(F.sum(F.regexp_count("x", F.lit(r"[\p{L}\p{N}]+"))), F.count("*")).first()
+    passes = math.ceil(1.25 * (words or 0) * (repetitions(recall, max_edits) * KEY_BYTES + 8) / ITEM_BYTES)
+    # An item is indexed as a whole, so more passes than items help nothing.
+    passes = max(1, min(passes, n))
     for number in range(passes):
         own = chosen.filter(F.pmod(F.xxhash64("i", "x"), F.lit(passes)) == number).collect()
         rows = sorted(((row.i, row.x) for row in own), key=lambda x: (x[0] is not None, x))
