@@ -35,7 +35,11 @@ def reading_value(c: Column | str) -> Column:
 
 def clean_bytes(c: Column | str) -> Column:
     """Trim, then drop the wrapper of byte-string text such as b'AB' or b"AB"."""
-    text = strip(c)
+    return unwrapped(strip(c))
+
+
+def unwrapped(text: Column) -> Column:
+    """Trimmed text without the wrapper of byte-string text."""
     wrapped = (text.startswith("b'") & text.endswith("'")) | (
         text.startswith('b"') & text.endswith('"')
     )

@@ -18,6 +18,8 @@ CHUNK = "_chunk"
 SLICE = 512
 #: Parts that the fine groups of a coarse group are dealt to.
 SLICES = 4096
+#: Hash of a group's keys.
+PLACE = "_place"
 
 
 def records(points: Column) -> Column:
@@ -52,6 +54,14 @@ def thinned(points: Column) -> Column:
     return F.when(F.size(points) <= SLICE, points).otherwise(F.get(twice, F.lit(0)))
 
 
+def gathered(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows with those of a group beside each other; Spark cuts large groups into several tasks.
+
+    Rows are sent by a hash that is no key itself, so an aggregation by the keys still has an exchange of its own.
+    """
+    return rows.withColumn(PLACE, F.xxhash64(*keys)).hint("rebalance", PLACE).drop(PLACE)
+
+
 def is_row_number(df: DataFrame, order: list[str]) -> bool:
     """One whole number gives the row order."""
     return len(order) == 1 and dict(df.dtypes)[order[0]] in WHOLE
@@ -155,7 +165,9 @@ class States:
     def in_chunks(self, rows: DataFrame, keys: list[str], hot_rows: int = LIST_ROWS, *beside: Column) -> DataFrame:
         """States per group and stretch of rows, for a merge that follows: no list holds a whole large group.
 
-        Rows of a partition are numbered one after the other, so few small groups are cut.
+        Rows of a partition are numbered one after the other, so few small groups are cut. Spark sorts
+        what it can't gather by hashing: a hash of the keys leads, so that one number settles nearly every comparison.
         """
         chunk = F.shiftright(F.monotonically_increasing_id(), hot_rows.bit_length() - 1)
-        return self.per_group(rows.withColumn(CHUNK, chunk), [*keys, CHUNK], *beside)
+        placed = rows.withColumn(CHUNK, chunk).withColumn(PLACE, F.xxhash64(*keys))
+        return self.per_group(placed, [PLACE, *keys, CHUNK], *beside).drop(PLACE)

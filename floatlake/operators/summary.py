@@ -17,15 +17,19 @@ from floatlake.catalog import (
 from floatlake.functions.dates import compact_date, juld_to_timestamp, time_of_day
 from floatlake.functions.geo import assign_ocean, assign_region
 from floatlake.functions.measures import valid_pressure
-from floatlake.functions.text import clean_bytes, nan_to_null, to_number
+from floatlake.functions.text import clean_bytes, nan_to_null, strip, to_number, unwrapped
 from floatlake.operators.profile import (
     depth_states, layer_state, n_levels_keys, surface_temp_state, with_n_levels,
 )
 from floatlake.operators.skew import any_null
-from floatlake.operators.states import LIST_ROWS, WHOLE, States, is_row_number
+from floatlake.operators.states import LIST_ROWS, WHOLE, States, gathered, is_row_number
 
 #: Name of the mixed layer beside states.
 LAYER = "_layer"
+#: Before the name of a column, its clean text beside it.
+TEXT = "_text:"
+#: Text columns that hold compact dates.
+COMPACT = ("DATE_CREATION", "DATE_UPDATE")
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 _FRACTIONAL = ("float", "double")
@@ -42,6 +46,16 @@ def _present(df: DataFrame) -> DataFrame:
     )
 
 
+def _with_texts(df: DataFrame, names: list[str], compact: tuple[str, ...] = ()) -> DataFrame:
+    """Clean text beside the text columns.
+
+    In steps, so that each is worked out once a row, however often the next one and the states look at it.
+    """
+    df = df.withColumns({f"{TEXT}{name}": strip(name) for name in names})
+    df = df.withColumns({f"{TEXT}{name}": unwrapped(F.col(f"{TEXT}{name}")) for name in names})
+    return df.withColumns({f"{TEXT}{name}": compact_date(f"{TEXT}{name}") for name in names if name.upper() in compact})
+
+
 def grouping_columns(columns: list[str]) -> list[str]:
     """Keys of the bgc summary found among the columns.
 
@@ -144,7 +158,7 @@ def column_rules(df: DataFrame, keys: list[str], infer: bool = False) -> dict[st
 
 def _bgc_value(states: States, name: str, dtype: str, rule: str) -> dict[str, Column]:
     """Output columns of one input column."""
-    value = clean_bytes(name) if dtype == "string" else F.col(name)
+    value = F.col(f"{TEXT}{name}" if dtype == "string" else name)
     if rule == "first":
         return {name: states.first(name, value)}
     number = to_number(value) if dtype == "string" else value
@@ -214,8 +228,8 @@ def summarize_bgc(
     ]
     if rules is None:
         rules = column_rules(df.select(*dict.fromkeys([*row_keys, *others])), row_keys)
-    rows = df.where(~any_null(row_keys))
     types = dict(df.dtypes)
+    rows = _with_texts(df.where(~any_null(row_keys)), [c for c in others if types[c] == "string"])
 
     states = States(order, is_row_number(rows, order))
     p = F.col(pres).try_cast("double") if pres else F.lit(None).cast("double")
@@ -259,12 +273,7 @@ def _core_value(states: States, name: str, dtype: str) -> dict[str, Column]:
     """Output columns of one input column; unused parts of a rule are null."""
     upper = name.upper()
     if not _is_numeric(dtype):
-        if dtype == "string":
-            value = clean_bytes(name)
-            if upper in ("DATE_CREATION", "DATE_UPDATE"):
-                value = compact_date(value)
-            return {name: states.first(name, value)}
-        return {name: states.first(name, F.col(name))}
+        return {name: states.first(name, F.col(f"{TEXT}{name}" if dtype == "string" else name))}
     value = F.col(name)
     if upper == "PRES":
         return {name: states.mean(name, value)}
@@ -343,11 +352,13 @@ class CoreSummary:
         }
         low, high, mean = depth_states(self.states, p, "core")
         self.values.update({"min_DEPTH_m": low, "max_DEPTH_m": high, "avg_DEPTH_m": mean})
+        self.texts = [name for name in others if types[name] == "string"]
         for name in others:
             self.values.update(_core_value(self.states, name, types[name]))
 
     def _rows(self, df: DataFrame) -> DataFrame:
         df = _present(df)
+        df = _with_texts(df, self.texts, COMPACT)
         if self.juld is not None:
             df = df.withColumn("DATE", F.to_date(self.juld))
         elif self.default_date is not None:
@@ -355,8 +366,12 @@ class CoreSummary:
         return df.where(~any_null(self.profile_keys))
 
     def _lists(self, rows: DataFrame) -> DataFrame:
-        """Level counts and points of every profile."""
-        levels = _points(rows, self.profile_keys, self.pres, self.temp)
+        """Level counts and points of every profile.
+
+        Points are gathered by profile first: where its levels lie all over the input, lists of one or two points
+        would be made, sent and merged twice.
+        """
+        levels = gathered(_points(rows, self.profile_keys, self.pres, self.temp), self.profile_keys)
         lists = self.points.in_chunks(levels, self.profile_keys, self.hot_rows, self.n_levels)
         return self.points.merged(lists, self.profile_keys, F.sum("n_levels").alias("n_levels"))
 

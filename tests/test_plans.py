@@ -105,3 +105,27 @@ def test_kept_profiles_save_a_scan_of_the_levels(spark, tmp_path):
 def test_profile_metrics_hash_the_levels(spark):
     text = plan(Q.QUERIES["profile_metrics"](spark, SF))
     assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+@pytest.mark.parametrize("name, gathers", [("summary_core", 1), ("summary_bgc", 0)])
+def test_summaries_gather_points_by_a_number_and_clean_texts_once(spark, name, gathers):
+    text = plan(Q.QUERIES[name](spark, SF))
+    assert text.count("ObjectHashAggregate(keys=[_place") == 2 and text.count("REBALANCE_PARTITIONS") == gathers
+    if name == "summary_core":
+        # One for each text column: neither the aggregate nor the unwrapping trims again.
+        spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+        try:
+            optimized = Q.QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.debug.maxToStringFields")
+        assert len(re.findall(r"\btrim\(", optimized)) == 3
+
+
+def test_clean_texts_leave_the_columns_they_come_from(spark):
+    """A pressure in the wrapper of a byte string is no number, as before, though its clean text is summarised."""
+    rows = [(i, "1", 1, "2025-01-01", p, 20.0 - i, d) for i, (p, d) in enumerate([("b'5'", " b'20250101052756' "), ("7", None), (None, "b'x'")])]
+    df = spark.createDataFrame(rows, "n int, PLATFORM_NUMBER string, CYCLE_NUMBER int, JULD string, PRES string, TEMP double, DATE_UPDATE string")
+    core = summary.summarize_core(df, ["n"]).first()
+    assert (core.row_count, core.n_levels, core.min_DEPTH_m, core.PRES, core.DATE_UPDATE) == (3, 1, 7.0, "5", "2025-01-01")
+    bgc = summary.summarize_bgc(df, ["n"], {"PRES": "first", "DATE_UPDATE": "both"}).first()
+    assert (bgc.n_levels, bgc.min_DEPTH_m, bgc.PRES, bgc.DATE_UPDATE, bgc.DATE_UPDATE_mean) == (1, 7.0, "5", "20250101052756", 20250101052756.0)
